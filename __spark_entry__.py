@@ -325,7 +325,7 @@ def _refreshed_summary(lake: Lakehouse) -> DataFrame:
     def define(months):
         fact = lake.table("fact_invoice_lines")
         if months is not None:
-            fact = fact.filter(in_months("invoice_date", months))
+            fact = in_months(fact, "invoice_date", months)
         summary = gold.sales_summary(fact, lake.table("dim_customer"), lake.table("dim_product"))
         return published(summary)
 

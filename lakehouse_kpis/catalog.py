@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakehouse_kpis.functions.text import quoted
+from lakehouse_kpis.operators.ranges import partition_of
 
 LAYERS = {
     "bronze": "raw landed data of the source systems",
@@ -74,5 +75,5 @@ class Catalog:
 
 
 def month_partition(date: str) -> dict[str, Column]:
-    """Partition column <date without _date>_month, for facts filtered by date."""
-    return {f"{date.removesuffix('_date')}_month": F.trunc(date, "MONTH")}
+    """The month partition of a fact that is filtered by date."""
+    return {partition_of(date): F.trunc(date, "MONTH")}

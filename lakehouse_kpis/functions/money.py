@@ -24,6 +24,11 @@ def zero_if_null(col: Column | str) -> Column:
     return F.coalesce(col, F.lit(0).cast(MONEY))
 
 
+def zero_unless(condition: Column, value: Column) -> Column:
+    """The value where the condition holds, elsewhere zero; a NULL value stays NULL."""
+    return F.when(condition, value).otherwise(F.lit(0).cast(MONEY))
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Ratio of two exact totals as DOUBLE; NULL when the denominator is zero."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))

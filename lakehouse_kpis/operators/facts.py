@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakehouse_kpis.functions.money import MONEY, SHARE, money, zero_if_null
+from lakehouse_kpis.functions.money import MONEY, SHARE, money, zero_unless
 from lakehouse_kpis.operators.dims import stamped
 from lakehouse_kpis.sources import fixed
 
@@ -22,8 +22,7 @@ SPREAD = 4
 def markup_pivot(markups: DataFrame) -> DataFrame:
     """Charges per invoice, one column per charge code."""
     def total(code: str) -> Column:
-        value = F.when(F.col("MARKUPCODE") == code, money("VALUE"))
-        return F.sum(zero_if_null(value)).cast(MONEY)
+        return F.sum(zero_unless(F.col("MARKUPCODE") == code, money("VALUE"))).cast(MONEY)
 
     return markups.groupBy("INVOICEID").agg(
         *[total(code).alias(name) for name, code in CHARGES.items()]
@@ -89,7 +88,8 @@ def fact_invoice_lines(
     The join key is (invoice, slot): each line takes one of `spread` slots and the charges,
     one narrow row per invoice, are copied to every slot. The lines of one huge invoice so
     go to several tasks; and as the charges are not already partitioned by that key, the
-    join gets shuffles of its own, which AQE can split further.
+    join gets shuffles of its own, which AQE can split further. spread=1 joins by invoice
+    alone, which lets tables bucketed by invoice be joined without a shuffle.
     """
     if allocation not in ("repeat", "equal"):
         raise ValueError(f"allocation must be 'repeat' or 'equal', not {allocation!r}")
@@ -103,13 +103,15 @@ def fact_invoice_lines(
         charges = charges.join(sizes, "invoice_id").select(
             "invoice_id", *[(F.col(c) / F.col("lines")).cast(SHARE).alias(c) for c in CHARGES]
         )
-    slots = F.array(*[F.lit(i) for i in range(spread)])
-    charges = charges.withColumn("_slot", F.explode(slots))
-    # spread by the line's own values, so that a retried task puts it in the same slot
-    slot = F.pmod(
-        F.xxhash64("invoice_id", "line_num", "product_key", "gross_line_amount"), F.lit(spread)
-    ).cast("int")
-    joined = unified.withColumn("_slot", slot).join(charges, ["invoice_id", "_slot"], "left")
+    on = ["invoice_id"]
+    if spread > 1:
+        on = ["invoice_id", "_slot"]
+        slots = F.array(*[F.lit(i) for i in range(spread)])
+        charges = charges.withColumn("_slot", F.explode(slots))
+        # by the line's own values, so that a retried task puts it in the same slot
+        own = F.xxhash64("invoice_id", "line_num", "product_key", "gross_line_amount")
+        unified = unified.withColumn("_slot", F.pmod(own, F.lit(spread)).cast("int"))
+    joined = unified.join(charges, on, "left")
     parts = [F.coalesce(F.col(c), F.lit(0).cast(kept)) for c in CHARGES]
     net = sum(parts, F.col("gross_line_amount")).cast(kept)
     return stamped(joined.select(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakehouse_kpis.functions.dates import month_of
-from lakehouse_kpis.functions.money import zero_if_null
+from lakehouse_kpis.functions.money import zero_if_null, zero_unless
 from lakehouse_kpis.sources import fixed
 
 CUSTOMER_COLUMNS = [
@@ -64,21 +64,27 @@ def sales_summary(fact: DataFrame, customer: DataFrame, product: DataFrame) -> D
 
 
 def finance_kpis(gl: DataFrame) -> DataFrame:
-    """Monthly ledger totals; revenue and contra revenue with their sign turned."""
-    def total(category: str, sign: int) -> Column:
-        value = F.when(F.col("gl_category") == category, F.col("amount_usd") * sign)
-        return F.round(F.sum(zero_if_null(value)), 2)
+    """Monthly ledger totals; revenue and contra revenue with their sign turned.
 
-    return gl.groupBy(
+    The category is one of the grouping columns, so one sum per group is enough: it goes to
+    the column of its category, and the other columns are zero.
+    """
+    def column(category: str, sign: int) -> Column:
+        return F.round(zero_unless(F.col("gl_category") == category, F.col("amount") * sign), 2)
+
+    grouped = gl.groupBy(
         month_of("transaction_date").alias("gl_month"), "territory", "business_unit",
         "gl_category", "gl_account", "gl_description",
-    ).agg(
-        total("REVENUE", -1).alias("revenue_usd"),
-        total("REVENUE_CONTRA", -1).alias("contra_revenue_usd"),
-        total("COGS", 1).alias("cogs_usd"),
-        total("OPEX", 1).alias("opex_usd"),
-        total("CAPEX", 1).alias("capex_usd"),
-        F.count("*").alias("gl_line_count"),
+    ).agg(F.sum("amount_usd").alias("amount"), F.count("*").alias("gl_line_count"))
+    return grouped.select(
+        "gl_month", "territory", "business_unit", "gl_category", "gl_account",
+        "gl_description",
+        column("REVENUE", -1).alias("revenue_usd"),
+        column("REVENUE_CONTRA", -1).alias("contra_revenue_usd"),
+        column("COGS", 1).alias("cogs_usd"),
+        column("OPEX", 1).alias("opex_usd"),
+        column("CAPEX", 1).alias("capex_usd"),
+        "gl_line_count",
     )
 
 
@@ -114,7 +120,7 @@ def customer_360(customer: DataFrame, fact: DataFrame, deals: DataFrame) -> Data
 
 
 def outcome_total(outcome: str) -> Column:
-    return F.sum(zero_if_null(F.when(F.col("deal_outcome") == outcome, F.col("amount_usd"))))
+    return F.sum(zero_unless(F.col("deal_outcome") == outcome, F.col("amount_usd")))
 
 
 def aging_bucket(days: Column) -> Column:

@@ -7,17 +7,16 @@ import functools
 import operator
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from lakehouse_kpis.functions.dates import month_start
+from lakehouse_kpis.operators.ranges import between
 
 
-def in_months(date: str, months: Sequence[dt.date]) -> Column:
-    """The dates of the given months, as ranges that a scan can use."""
-    day = F.col(date)
-    spans = [(day >= F.lit(m)) & (day < F.lit(month_start(m, 1))) for m in months]
-    return functools.reduce(operator.or_, spans)
+def in_months(df: DataFrame, date: str, months: Sequence[dt.date]) -> DataFrame:
+    """The rows of the given months, by ranges that a scan can use."""
+    spans = [between(date, m, month_start(m, 1), df.columns) for m in months]
+    return df.filter(functools.reduce(operator.or_, spans))
 
 
 class MaterializedView:

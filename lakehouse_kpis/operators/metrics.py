@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from lakehouse_kpis.functions.dates import month_start
 from lakehouse_kpis.functions.money import published
 from lakehouse_kpis.operators.dims import dedupe_latest
+from lakehouse_kpis.operators.ranges import between
 
 _OPS = {
     "=": operator.eq, "<>": operator.ne, "<": operator.lt, "<=": operator.le,
@@ -224,11 +225,8 @@ class Metrics:
             column, grain = dimension.truncates
             bounds = _span(op, value, grain)
             if bounds is not None:
-                low, high = bounds
-                day = F.col(f"source.{column}")
-                kept = [c for c in (low and day >= F.lit(low), high and day < F.lit(high))
-                        if c is not None]
-                return "", functools.reduce(operator.and_, kept)
+                columns = self.tables[self.view.source].columns
+                return "", between(column, *bounds, columns, prefix="source.")
         return dimension.expr, _OPS[op](F.expr(dimension.expr), F.lit(value))
 
 

@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakehouse_kpis.functions.money import mean, ratio, zero_if_null
+from lakehouse_kpis.functions.money import mean, ratio, zero_unless
 
 # A measure is built when a tile is evaluated, as columns need a running session.
 Measured = Callable[[], Column]
@@ -23,13 +23,13 @@ def rows() -> Measured:
     return lambda: F.count("*")
 
 
-def total(column: str) -> Measured:
-    return lambda: F.sum(column)
+def total(column: str, sign: int = 1) -> Measured:
+    return lambda: F.sum(F.col(column) * sign if sign != 1 else F.col(column))
 
 
 def total_where(condition: str, column: str, sign: int = 1) -> Measured:
     """Sum over the rows that meet a condition; zero if none does."""
-    return lambda: F.sum(zero_if_null(F.when(F.expr(condition), F.col(column) * sign)))
+    return lambda: F.sum(zero_unless(F.expr(condition), F.col(column) * sign))
 
 
 def rows_where(condition: str) -> Measured:

@@ -17,7 +17,7 @@ NET, MARGIN = "net_invoice_amount", "estimated_gross_margin_usd"
 
 
 _DISCOUNT_PCT = {
-    "discount_pct": quotient(total_where("true", "discount_amount", -1), total("gross_line_amount"))
+    "discount_pct": quotient(total("discount_amount", -1), total("gross_line_amount"))
 }
 _LEADS, _QUOTES = rows_where("is_lead_event"), rows_where("event_name = 'request_quote'")
 _REVENUE_GL = total_where("gl_category = 'REVENUE'", "amount_usd_raw", -1)

@@ -47,13 +47,13 @@ class Lakehouse:
         identity: Identity | None = None, policy: Policy = PERSONA_POLICY,
         allocation: str = "repeat", legacy_product: Column | None = None,
         metric_view: MetricView = SALES_METRICS,
-        stored: Mapping[str, DataFrame] | None = None,
+        stored: Mapping[str, DataFrame] | None = None, spread: int = facts.SPREAD,
     ):
         self.spark, self.landed, self.as_of = spark, landed, as_of
         self.web_as_of = web_as_of or as_of
         self.identity, self.policy, self.allocation = identity, policy, allocation
         self.legacy_product, self.metric_view = legacy_product, metric_view
-        self.stored = dict(stored or {})
+        self.stored, self.spread = dict(stored or {}), spread
         self._raw: dict[str, DataFrame] = {}
         self._frames: dict[str, DataFrame] = {}
         self._metrics: Metrics | None = None
@@ -63,7 +63,7 @@ class Lakehouse:
         reader = Lakehouse(
             self.spark, self.landed, self.as_of, self.web_as_of, identity,
             policy or self.policy, self.allocation, self.legacy_product, self.metric_view,
-            self.stored,
+            self.stored, self.spread,
         )
         reader._raw = self._raw
         return reader
@@ -117,6 +117,7 @@ class Lakehouse:
         written = Lakehouse(
             self.spark, _CatalogTables(catalog), self.as_of, self.web_as_of, None, self.policy,
             self.allocation, self.legacy_product, self.metric_view,
+            spread=1 if invoice_buckets else self.spread,
         )
         stored = {}
         for name in _SILVER:
@@ -168,7 +169,7 @@ _SILVER = {
     "dim_date": lambda lake: dims.dim_date(lake.spark),
     "fact_invoice_lines": lambda lake: facts.fact_invoice_lines(
         lake.bronze("invoice_lines"), lake.bronze("markups"), lake.bronze("legacy_headers"),
-        lake.allocation, lake.legacy_product,
+        lake.allocation, lake.legacy_product, lake.spread,
     ),
     "fact_gl_transactions": lambda lake: facts.fact_gl_transactions(lake.bronze("gl")),
     "fact_web_engagement": lambda lake: facts.fact_web_engagement(lake.bronze("sessions")),

@@ -16,6 +16,7 @@ from lakehouse_kpis.functions.dates import (
 )
 from lakehouse_kpis.functions.money import published, ratio
 from lakehouse_kpis.operators.gold import bucket_order
+from lakehouse_kpis.operators.ranges import within
 
 
 # --- revenue and margin through the metric view -------------------------------------------
@@ -184,7 +185,7 @@ def visible_contacts(lake) -> DataFrame:
 
 def revenue_by_system(lake, months: int = 24) -> DataFrame:
     start = month_start(lake.as_of, -months)
-    recent = lake.table("fact_invoice_lines").filter(F.col("invoice_date") >= F.lit(start))
+    recent = within(lake.table("fact_invoice_lines"), "invoice_date", start)
     return published(
         recent.groupBy(month_of("invoice_date").alias("month"), "source_system")
         .agg(F.round(F.sum("net_invoice_amount"), 2).alias("net_revenue"))
@@ -196,9 +197,7 @@ def ledger_by_category(
     lake, since: dt.date | None = None, categories: list[str] | None = None
 ) -> DataFrame:
     """Yearly totals per ledger category, revenue turned positive."""
-    gl = lake.table("fact_gl_transactions")
-    if since is not None:
-        gl = gl.filter(F.col("transaction_date") >= F.lit(since))
+    gl = within(lake.table("fact_gl_transactions"), "transaction_date", since)
     if categories is not None:
         gl = gl.filter(F.col("gl_category").isin(categories))
     sign = F.when(F.col("gl_category") == "REVENUE", -1).otherwise(1)
@@ -220,11 +219,7 @@ def ledger_main_categories(lake) -> DataFrame:
 
 def quotes_by_campaign(lake) -> DataFrame:
     """Quote requests of the year per campaign; a campaign without any stays, with zero."""
-    year = lake.web_as_of.year
-    sessions = lake.table("fact_web_engagement").filter(
-        (F.col("session_date") >= F.lit(dt.date(year, 1, 1)))
-        & (F.col("session_date") < F.lit(dt.date(year + 1, 1, 1)))
-    )
+    sessions = _sessions_since_new_year(lake, dt.date(lake.web_as_of.year + 1, 1, 1))
     return sessions.groupBy("campaign").agg(
         F.count_if(_is_quote()).alias("quote_requests")
     ).orderBy(F.desc("quote_requests"))
@@ -232,9 +227,7 @@ def quotes_by_campaign(lake) -> DataFrame:
 
 def campaigns_with_quotes(lake) -> DataFrame:
     """The same, but only campaigns that drew a quote request."""
-    start = F.lit(dt.date(lake.web_as_of.year, 1, 1))
-    sessions = lake.table("fact_web_engagement")
-    quotes = sessions.filter((F.col("session_date") >= start) & _is_quote())
+    quotes = _sessions_since_new_year(lake).filter(_is_quote())
     return quotes.groupBy("campaign").agg(F.count("*").alias("quote_requests")).orderBy(
         F.desc("quote_requests")
     )
@@ -242,8 +235,7 @@ def campaigns_with_quotes(lake) -> DataFrame:
 
 def campaign_conversion(lake) -> DataFrame:
     """Share of a campaign's sessions that asked for a quote, in percent."""
-    start = F.lit(dt.date(lake.web_as_of.year, 1, 1))
-    sessions = lake.table("fact_web_engagement").filter(F.col("session_date") >= start)
+    sessions = _sessions_since_new_year(lake)
     percent = F.try_divide(
         (F.col("quotes") * 100).cast("decimal(20,0)"), F.col("sessions").cast("decimal(20,0)")
     )
@@ -255,6 +247,11 @@ def campaign_conversion(lake) -> DataFrame:
     )
 
 
+def _sessions_since_new_year(lake, before: dt.date | None = None) -> DataFrame:
+    start = dt.date(lake.web_as_of.year, 1, 1)
+    return within(lake.table("fact_web_engagement"), "session_date", start, before)
+
+
 def _is_quote() -> Column:
     return F.col("event_name") == "request_quote"
 

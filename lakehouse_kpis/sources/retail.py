@@ -230,50 +230,49 @@ class RetailTables:
 
     def _gl(self) -> DataFrame:
         """Five ledger postings per order line (capital spend only on the first line of
-        a partly shipped order)."""
+        a partly shipped order). What the postings share is made before the fan-out."""
         price, number = money("l_extendedprice"), F.col("l_linenumber")
-        postings = (
-            self.raw("lineitem")
-            .join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(self.raw("part"), F.col("l_partkey") == F.col("p_partkey"))
-            .select(
-                "l_orderkey", "l_linenumber", "o_orderdate", "p_type",
-                money(-price).alias("REVENUE"),
-                money(F.round(price * money("l_discount"), 2)).alias("REVENUE_CONTRA"),
-                money(F.col("l_quantity").cast("int") * _unit_cost()).alias("COGS"),
-                money(F.round(price * money("l_tax"), 2)).alias("OPEX"),
-                F.when((F.col("o_orderstatus") == "P") & (number == 1), price).alias("CAPEX"),
-            )
-            .unpivot(
-                ["l_orderkey", "l_linenumber", "o_orderdate", "p_type"], fixed.GL_CATEGORIES,
-                "GL_CATEGORY", "AMOUNTMST",
-            )
-            .filter("AMOUNTMST IS NOT NULL")
-        )
+        unit = F.col("l_orderkey") % 18
         revenue = {"STANDARD": "4010", "SMALL": "4020", "MEDIUM": "4030", "ECONOMY": "4040"}
+        shared = {
+            "VOUCHER": business_key("VCH-", F.col("l_orderkey"), 8),
+            "TRANSDATE": F.col("o_orderdate").cast("date"),
+            "DIM_BUSINESS_UNIT": F.when(unit < 8, "BU-RES").when(unit < 14, "BU-PRO")
+            .otherwise("BU-COM"),
+            "DIM_TERRITORY": pick(fixed.TERRITORIES, F.col("l_orderkey")),
+            "revenue_account": decode(F.col("p_type"), revenue, "4010"),
+            "cogs_account": pick(["5010", "5020", "5030"], number),
+            "opex_account": pick(["5210", "5220", "6010", "6020", "6030"], number),
+        }
+        amounts = {
+            "REVENUE": money(-price),
+            "REVENUE_CONTRA": money(F.round(price * money("l_discount"), 2)),
+            "COGS": money(F.col("l_quantity").cast("int") * _unit_cost()),
+            "OPEX": money(F.round(price * money("l_tax"), 2)),
+            "CAPEX": F.when((F.col("o_orderstatus") == "P") & (number == 1), price),
+        }
         category = F.col("GL_CATEGORY")
         account = (
-            F.when(category == "REVENUE", decode(F.col("p_type"), revenue, "4010"))
+            F.when(category == "REVENUE", F.col("revenue_account"))
             .when(category == "REVENUE_CONTRA", "4101")
-            .when(category == "COGS", pick(["5010", "5020", "5030"], number))
-            .when(category == "OPEX", pick(["5210", "5220", "6010", "6020", "6030"], number))
+            .when(category == "COGS", F.col("cogs_account"))
+            .when(category == "OPEX", F.col("opex_account"))
             .otherwise("7010")
         )
-        unit = F.col("l_orderkey") % 18
         chart = inline(
             self.spark, [(code, name) for code, name, _ in fixed.GL_ACCOUNTS],
             ["ACCOUNTNUM", "GL_DESCRIPTION"],
         )
-        posted = postings.withColumn("ACCOUNTNUM", account).join(chart, "ACCOUNTNUM", "left")
-        return posted.select(
-            business_key("VCH-", F.col("l_orderkey"), 8).alias("VOUCHER"),
-            F.col("o_orderdate").cast("date").alias("TRANSDATE"),
-            "ACCOUNTNUM", "GL_DESCRIPTION", "GL_CATEGORY", "AMOUNTMST",
-            F.lit("USD").alias("CURRENCYCODE"),
-            F.when(unit < 8, "BU-RES").when(unit < 14, "BU-PRO").otherwise("BU-COM")
-            .alias("DIM_BUSINESS_UNIT"),
-            pick(fixed.TERRITORIES, F.col("l_orderkey")).alias("DIM_TERRITORY"),
-            F.lit("LEG").alias("DATAAREAID"),
+        return (
+            self.raw("lineitem")
+            .join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(self.raw("part"), F.col("l_partkey") == F.col("p_partkey"))
+            .select(*[c.alias(n) for n, c in {**shared, **amounts}.items()])
+            .unpivot(list(shared), list(amounts), "GL_CATEGORY", "AMOUNTMST")
+            .filter("AMOUNTMST IS NOT NULL")
+            .withColumn("ACCOUNTNUM", account)
+            .join(chart, "ACCOUNTNUM", "left")
+            .withColumns({"CURRENCYCODE": F.lit("USD"), "DATAAREAID": F.lit("LEG")})
         )
 
     def _employees(self) -> DataFrame:
