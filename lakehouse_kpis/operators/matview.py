@@ -5,13 +5,17 @@ from __future__ import annotations
 import datetime as dt
 import functools
 import operator
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakehouse_kpis.functions.dates import month_start
 from lakehouse_kpis.operators.ranges import between
 
+REFRESH = "_refresh"  # mark of the refresh that wrote a row
+
 
 def in_months(df: DataFrame, date: str, months: Sequence[dt.date]) -> DataFrame:
     """The rows of the given months, by ranges that a scan can use."""
@@ -37,34 +41,34 @@ class MaterializedView:
     def refresh(self, months: Sequence[dt.date] | None = None) -> None:
         if months is None:
             self._write(self.define(None), "static")
-            return
-        if not months:
-            return
-        if any(m.day != 1 for m in months):
+        elif any(m.day != 1 for m in months):
             raise ValueError("months are given by their first day")
-        self._write(self.define(months), "dynamic")
-        self._drop_emptied(months)
+        elif months:
+            self._drop_all_but(self._write(self.define(months), "dynamic"), months)
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        return self.spark.read.parquet(self.path).drop(REFRESH)
+
+    def _write(self, df: DataFrame, overwrite: str) -> str:
+        """Write the rows, marked with the refresh that made them.
 
-    def _write(self, df: DataFrame, overwrite: str) -> None:
-        # rebalance: files near the target size, a month that is too large for one is split
+        Rebalanced: files near the target size, a month that is too large for one is split.
+        """
+        refresh = uuid.uuid4().hex
         (
-            df.hint("rebalance", self.month)
+            df.withColumn(REFRESH, F.lit(refresh)).hint("rebalance", self.month)
             .write.mode("overwrite").option("partitionOverwriteMode", overwrite)
             .partitionBy(self.month).parquet(self.path)
         )
+        return refresh
 
-    def _drop_emptied(self, months: Sequence[dt.date]) -> None:
-        """Dynamic overwrite leaves a month alone that has no rows any more. The rows of
-        the view come from the definition alone, so such a month is found by asking it."""
-        kept = {
-            row[0] for row in
-            self.define(months).select(self.month).distinct().limit(len(months)).collect()
-        }
+    def _drop_all_but(self, refresh: str, months: Sequence[dt.date]) -> None:
+        """Remove the refreshed months that have no rows any more: dynamic overwrite leaves
+        them as they were, with the mark of an earlier refresh. Reads the mark alone."""
+        marked = self.spark.read.parquet(self.path).filter(F.col(self.month).isin(list(months)))
+        stale = marked.filter(F.col(REFRESH) != refresh).select(self.month).distinct()
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for month in set(months) - kept:
-            folder = hadoop.Path(f"{self.path}/{self.month}={month.isoformat()}")
+        for row in stale.limit(len(months)).collect():
+            folder = hadoop.Path(f"{self.path}/{self.month}={row[0].isoformat()}")
             folder.getFileSystem(conf).delete(folder, True)

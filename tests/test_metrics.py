@@ -184,3 +184,19 @@ def test_additive_measures_agree_across_grains(lake):
 def test_history_start(spark):
     every = sales_metrics(None).bind(tables(spark))
     assert every.query([], ["Line Count"]).first()[0] == 4
+
+
+def test_trusted_keys_are_not_checked(spark):
+    spec = {
+        "source": "fact_invoice_lines",
+        "joins": [{"name": "product", "source": "dim_product", "on_duplicate": "trust",
+                   "on": "source.product_key = product.product_key"}],
+        "dimensions": [{"name": "Line", "expr": "product.product_line"}],
+        "measures": [{"name": "Lines", "expr": "count(*)"}],
+    }
+    view = MetricView.from_dict(spec).bind(tables(spark))
+    query = view.query(["Line"], ["Lines"])
+    assert "ubquery" not in first_plan(query) and query.count() == 2
+    spec["joins"][0]["on_duplicate"] = "whatever"
+    with pytest.raises(ValueError):
+        MetricView.from_dict(spec)
