@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
@@ -58,3 +58,42 @@ def invalid_rows(personas: DataFrame) -> DataFrame:
     """Rows whose persona is not one of the nine."""
     domain = inline(personas.sparkSession, [(p,) for p in PERSONAS], ["persona"])
     return personas.join(domain, "persona", "left_anti").select(personas.columns)
+
+
+class PersonaTable:
+    """The persona table in files, a folder per version.
+
+    A parquet table cannot be overwritten while it is read, so each change writes the next
+    version, and readers take the newest one that was written to its end. Two changes at
+    once go for the same version: the second one fails and can be tried again.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def read(self) -> DataFrame:
+        version = self._newest()
+        if version is None:
+            return self.spark.createDataFrame([], SCHEMA)
+        return self.spark.read.schema(SCHEMA).parquet(self._folder(version))
+
+    def set(self, user: str, persona: str, at: dt.datetime) -> None:
+        self._write(set_persona(self.read(), user, persona, at))
+
+    def change(self, changes: DataFrame) -> None:
+        """Many users at once."""
+        self._write(upsert(self.read(), changes))
+
+    def _write(self, df: DataFrame) -> None:
+        df.write.mode("errorifexists").parquet(self._folder((self._newest() or 0) + 1))
+
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/version={version:09d}"
+
+    def _newest(self) -> int | None:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        done = hadoop.Path(f"{self.path}/version=*/_SUCCESS")
+        files = done.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = files.globStatus(done) or []
+        names = [f.getPath().getParent().getName() for f in found]
+        return max((int(n.removeprefix("version=")) for n in names), default=None)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from lakehouse_kpis.functions.text import quoted
 from lakehouse_kpis.governance.policy import ALL_ROWS, Identity, Policy
 
 # argument type and what a reader without the privilege gets
@@ -30,9 +31,18 @@ def register(spark: SparkSession, policy: Policy, who: Identity) -> None:
     if ALL_ROWS in held:
         seen = "true"
     elif own:
-        names = ", ".join(f"'{t}'" for t in own)
+        names = ", ".join(map(quoted, own))
         seen = f"coalesce(territory IN ({names}), false)"
     else:
         seen = "false"
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION row_filter_territory(territory STRING) "
               f"RETURNS BOOLEAN RETURN {seen}")
+
+
+def register_active_persona(spark: SparkSession, personas: str, user: str | None = None) -> None:
+    """Define active_persona(): the newest persona of the user in the table or view named
+    `personas`, NULL without a row. The user defaults to whoever runs the query."""
+    who = "current_user()" if user is None else quoted(user)
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION active_persona() RETURNS STRING RETURN "
+              f"(SELECT max_by(persona, struct(set_at, persona)) FROM {personas} "
+              f"WHERE user_email = {who})")

@@ -7,6 +7,7 @@ from lakehouse_kpis.governance import persona, sql_functions
 from lakehouse_kpis.governance.policy import (
     GROUP_POLICY, PERSONA_POLICY, Identity, secure, user_privileges, visible_rows,
 )
+from lakehouse_kpis.session import shared_dir
 from lakehouse_kpis.sources.fixed import PERSONAS
 
 AT = dt.datetime(2024, 1, 1, 12)
@@ -171,3 +172,28 @@ def test_as_many_personas_as_the_table_says(spark):
 
     got = entry.queries()["gov_matrix"](spark, SMALL)
     assert sorted(r.persona for r in got.collect()) == sorted(PERSONAS)
+
+
+def test_active_persona_in_sql(spark, table):
+    table.createOrReplaceTempView("persona_rows")
+    for user, name in (("a", "FINANCE"), ("nobody", None)):
+        sql_functions.register_active_persona(spark, "persona_rows", user)
+        assert spark.sql("SELECT active_persona()").first()[0] == name
+    sql_functions.register_active_persona(spark, "persona_rows")
+    assert spark.sql("SELECT active_persona()").first()[0] is None
+
+
+def test_persona_table_versions(spark):
+    stored = persona.PersonaTable(spark, f"{shared_dir(spark)}/personas")
+    assert stored.read().count() == 0
+    stored.set("a", "HR", AT)
+    stored.set("b", "SALES_REP", AT)
+    stored.set("a", "FINANCE", AT)  # set again: the old row goes, whatever its time
+    assert listed(stored.read()) == [("a", "FINANCE", AT), ("b", "SALES_REP", AT)]
+    with pytest.raises(ValueError):
+        stored.set("a", "INTERN", AT)
+    stored.change(spark.createDataFrame(
+        [("b", "HR", AT), ("c", "HR", AT)], "user_email string, persona string, set_at timestamp_ntz"))
+    assert listed(stored.read(), "user_email", "persona") == [
+        ("a", "FINANCE"), ("b", "HR"), ("c", "HR")]
+    assert persona.identify(stored.read(), "c") == Identity("c", "HR")
