@@ -135,6 +135,13 @@ def secure(df: DataFrame, table: str, privileges: Iterable[str]) -> DataFrame:
     return df.withColumns(hidden) if hidden else df
 
 
+def groups_of(memberships: DataFrame, policy: Policy, user: str) -> frozenset[str]:
+    """The groups of one user that the policy knows: no more rows than it has groups."""
+    known = sorted(policy.groups)
+    rows = memberships.filter((F.col("user_email") == user) & F.col("group_name").isin(known))
+    return frozenset(r[0] for r in rows.select("group_name").distinct().collect())
+
+
 def user_privileges(memberships: DataFrame, policy: Policy) -> DataFrame:
     """(user_email, privilege) of every user in a group directory."""
     grants = policy.frame(memberships.sparkSession).filter("kind = 'group'")

@@ -103,7 +103,8 @@ class Lakehouse:
         """Write bronze and silver, and read on from the written tables.
 
         invoice_buckets: bucket invoice lines, charges and headers by invoice, so that the
-        charges are joined to the lines without a shuffle of the landed tables.
+        charges are joined to the lines without a shuffle of the landed tables. A bucket is
+        one task, so leave it out when one invoice may hold a large part of the lines.
         """
         catalog.ensure_layers()
         for name, properties in PROVENANCE.items():

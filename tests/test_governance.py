@@ -5,7 +5,7 @@ from conftest import SMALL, first_plan, listed
 
 from lakehouse_kpis.governance import persona, sql_functions
 from lakehouse_kpis.governance.policy import (
-    GROUP_POLICY, PERSONA_POLICY, Identity, secure, user_privileges, visible_rows,
+    GROUP_POLICY, PERSONA_POLICY, Identity, groups_of, secure, user_privileges, visible_rows,
 )
 from lakehouse_kpis.session import shared_dir
 from lakehouse_kpis.sources.fixed import PERSONAS
@@ -153,6 +153,18 @@ def test_user_privileges(spark):
         + [("a", "rows:US-East")], key=repr)
 
 
+def test_a_reader_resolved_from_tables(spark, table, customers):
+    directory = spark.createDataFrame(
+        [("b", "canada_east"), ("b", "canada_east"), ("b", "chess_club"), ("a", "hr")],
+        "user_email string, group_name string")
+    groups = groups_of(directory, PERSONA_POLICY, "b")
+    assert groups == {"canada_east"}
+    who = persona.identify(table, "b", groups)
+    assert who == Identity("b", "SALES_REP", frozenset({"canada_east"}))
+    seen = secure(customers, "dim_customer", PERSONA_POLICY.privileges(who))
+    assert listed(seen, "territory", "phone") == [("Canada-East", "***-***-1736")]
+
+
 def test_sql_functions(spark, customers):
     customers.createOrReplaceTempView("raw_customers")
     query = ("SELECT mask_email(email) e, mask_phone(phone) p, mask_address(address_line1) a,"

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 from compare import TABLES, rows
-from conftest import SMALL
+from conftest import SMALL, first_plan
 
 import __spark_entry__ as entry
 
@@ -28,4 +28,7 @@ def test_equal(spark, db, name):
     result = db.execute(ORACLE[name])
     columns = [d[0] for d in result.description]
     assert sorted(columns) == sorted(df.columns)
+    plan = first_plan(df)
+    for costly in ("Python", "Pandas", "CartesianProduct", "NestedLoop"):
+        assert costly not in plan
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(columns, result.fetchall())
