@@ -12,7 +12,7 @@ import functools
 import operator
 import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -53,6 +53,12 @@ class Join:
     def keys(self) -> list[str]:
         return re.findall(rf"\b{self.name}\.`?(\w+)`?", self.on)
 
+    def most_copies(self, table: DataFrame) -> DataFrame:
+        """One row: how often the most frequent key occurs. NULL keys never match."""
+        known = functools.reduce(operator.and_, [F.col(k).isNotNull() for k in self.keys])
+        copies = table.filter(known).groupBy(*self.keys).agg(F.count("*").alias("copies"))
+        return copies.agg(F.max("copies"))
+
 
 @dataclass(frozen=True)
 class Dimension:
@@ -108,6 +114,17 @@ class MetricView:
             raise ImportError("from_yaml needs PyYAML; use from_dict") from error
         return cls.from_dict(yaml.safe_load(text))
 
+    def verified(self, tables: Mapping[str, DataFrame]) -> MetricView:
+        """The view for tables that were just written: a join whose key is found unique now
+        is not checked again by every query. Reads one row per join."""
+        def check(join: Join) -> Join:
+            if join.on_duplicate != "error":
+                return join
+            most = join.most_copies(tables[join.source]).first()[0]
+            return replace(join, on_duplicate="trust") if (most or 0) <= 1 else join
+
+        return replace(self, joins=tuple(check(j) for j in self.joins))
+
     def bind(self, tables: Mapping[str, DataFrame]) -> Metrics:
         """Attach frames to the names that `source` and the joins use."""
         return Metrics(self, tables)
@@ -187,9 +204,7 @@ class Metrics:
         join's shuffle from AQE's skew handling.
         """
         if join.name not in self._checked:
-            known = functools.reduce(operator.and_, [F.col(k).isNotNull() for k in join.keys])
-            copies = table.filter(known).groupBy(*join.keys).agg(F.count("*").alias("copies"))
-            self._checked[join.name] = copies.agg(F.max("copies"))
+            self._checked[join.name] = join.most_copies(table)
         most = F.coalesce(self._checked[join.name].scalar(), F.lit(0))
         message = f"join {join.name!r}: {', '.join(join.keys)} is not unique in {join.source}"
         return F.assert_true(most <= 1, message).isNull()

@@ -129,7 +129,7 @@ class Lakehouse:
             )
         return Lakehouse(
             self.spark, written.landed, self.as_of, self.web_as_of, self.identity, self.policy,
-            self.allocation, self.legacy_product, self.metric_view, stored,
+            self.allocation, self.legacy_product, self.metric_view.verified(stored), stored,
         )
 
     def register_views(self, catalog: Catalog) -> None:

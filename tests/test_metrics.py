@@ -200,3 +200,13 @@ def test_trusted_keys_are_not_checked(spark):
     spec["joins"][0]["on_duplicate"] = "whatever"
     with pytest.raises(ValueError):
         MetricView.from_dict(spec)
+
+
+def test_keys_verified_once(spark):
+    good = SALES_METRICS.verified(tables(spark))
+    assert [j.on_duplicate for j in good.joins] == ["trust", "trust"]
+    twice = tables(spark, [("P1", "Slabs", "Core", 2.0), ("P1", "Pavers", "Core", 3.0)])
+    half = SALES_METRICS.verified(twice)
+    assert [j.on_duplicate for j in half.joins] == ["trust", "error"]
+    with pytest.raises(PySparkException, match="not unique"):
+        half.bind(twice).query(["Product Line"], ["Net Revenue"]).collect()
