@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -99,34 +100,44 @@ class Lakehouse:
             return raw
         return secure(raw, name, self.policy.privileges(self.identity))
 
-    def build(self, catalog: Catalog, invoice_buckets: int | None = None) -> Lakehouse:
+    def build(
+        self, catalog: Catalog, invoice_buckets: int | None = None, at_once: int = 4
+    ) -> Lakehouse:
         """Write bronze and silver, and read on from the written tables.
 
         invoice_buckets: bucket invoice lines, charges and headers by invoice, so that the
         charges are joined to the lines without a shuffle of the landed tables. A bucket is
         one task, so leave it out when one invoice may hold a large part of the lines.
+        at_once: tables of a layer written side by side, so that small ones fill the gaps
+        that a large one leaves.
         """
         catalog.ensure_layers()
-        for name, properties in PROVENANCE.items():
-            buckets = None
-            if invoice_buckets and name in ("invoice_lines", "markups", "legacy_headers"):
-                buckets = (invoice_buckets, ["INVOICEID"])
+        by_invoice = ("invoice_lines", "markups", "legacy_headers")
+
+        def land(name: str) -> None:
+            bucketed = invoice_buckets and name in by_invoice
             catalog.publish(
-                self.bronze(name), "bronze", name, f"landed {name}", properties,
-                bucket_by=buckets,
+                self.bronze(name), "bronze", name, f"landed {name}", PROVENANCE[name],
+                bucket_by=(invoice_buckets, ["INVOICEID"]) if bucketed else None,
             )
+
         written = Lakehouse(
             self.spark, _CatalogTables(catalog), self.as_of, self.web_as_of, None, self.policy,
             self.allocation, self.legacy_product, self.metric_view,
             spread=1 if invoice_buckets else self.spread,
         )
-        stored = {}
-        for name in _SILVER:
+
+        def conform(name: str) -> DataFrame:
             date = FACT_DATES.get(name)
-            stored[name] = catalog.publish(
+            return catalog.publish(
                 written.table(name), "silver", name, f"conformed {name}",
                 partition_by=month_partition(date) if date else None,
             )
+
+        with ThreadPoolExecutor(at_once) as pool:
+            list(pool.map(land, _largest_first(PROVENANCE)))
+            names = _largest_first(_SILVER)
+            stored = dict(zip(names, pool.map(conform, names)))
         return Lakehouse(
             self.spark, written.landed, self.as_of, self.web_as_of, self.identity, self.policy,
             self.allocation, self.legacy_product, self.metric_view.verified(stored), stored,
@@ -138,6 +149,12 @@ class Lakehouse:
             catalog.view(name, self.table(name))
 
 
+def _largest_first(names: Iterable[str]) -> list[str]:
+    """The tables that take longest first."""
+    large = ["gl", "invoice_lines", "fact_gl_transactions", "fact_invoice_lines"]
+    return sorted(names, key=lambda n: n not in large)
+
+
 class _Tables(Mapping):
     """The tables of a lakehouse as a mapping, still made on demand."""
 
