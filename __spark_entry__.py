@@ -244,7 +244,7 @@ def _governance() -> dict:
         "rls_group_fallback": lambda lake: _as(lake, None, "canada_east", "sales_leader").table(
             "vw_dim_customer"
         ),
-        "rls_unknown_persona": lambda lake: _as(lake, "VISITOR").table("vw_dim_customer"),
+        "rls_unknown_persona": _hidden_from_strangers,
         "rls_admin_group_policy": lambda lake: lake.read_as(
             Identity("reader@example.com", "HR", frozenset({"admins"})), GROUP_POLICY
         ).table("vw_dim_employee"),
@@ -276,6 +276,18 @@ def _governance() -> dict:
     }
 
 
+def _hidden_from_strangers(lake: Lakehouse) -> DataFrame:
+    """Customers per territory, and how many of them a persona without grants sees."""
+    def count(reader: Lakehouse, name: str) -> DataFrame:
+        return reader.table("dim_customer").groupBy("territory").agg(F.count("*").alias(name))
+
+    everyone = count(lake, "customers")
+    seen = count(_as(lake, "VISITOR"), "visible").withColumnRenamed("territory", "place")
+    return everyone.join(seen, F.col("territory").eqNullSafe(F.col("place")), "left").select(
+        "territory", "customers", F.coalesce("visible", F.lit(0)).alias("visible")
+    )
+
+
 def _signups(lake: Lakehouse) -> DataFrame:
     """Persona changes: whoever fills in a contact form becomes a sales representative."""
     return lake.landed.raw("events").filter("event_type = 'signup'").select(

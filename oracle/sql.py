@@ -424,7 +424,9 @@ for name, (mail, phone, rows) in SEEN.items():
 _NO_PHONE_MASK = {**MASK, "phone": "phone"}
 add("rls_group_fallback", f"""
 SELECT {DIRECTORY.format(**_NO_PHONE_MASK)} FROM customers WHERE territory = 'Canada-East'""")
-add("rls_unknown_persona", f"SELECT {DIRECTORY.format(**MASK)} FROM customers WHERE false")
+add("rls_unknown_persona", f"""
+SELECT territory, {big('count(*)')} AS customers, CAST(0 AS BIGINT) AS visible
+FROM customers GROUP BY territory""")
 add("rls_admin_group_policy", f"SELECT {EMPLOYEE} FROM employees")
 add("persona_active", """
 SELECT user_email, arg_max(persona, (set_at, persona)) AS persona, max(set_at) AS set_at
