@@ -26,6 +26,14 @@ from lakehouse_kpis.sources.fixed import PERSONAS
 from lakehouse_kpis.sources.retail import RetailTables, legacy_product_key
 from oracle.sql import ORACLE
 
+try:  # the training-data subpackage and its pipeline may be left out
+    import corpus_pipeline
+    from lakehouse_kpis.llm import queries as llm
+except ModuleNotFoundError as absent:
+    if not (absent.name or "").startswith(("corpus_pipeline", "lakehouse_kpis.llm")):
+        raise
+    corpus_pipeline = llm = None
+
 AS_OF = dt.date(2001, 8, 31)
 WEB_AS_OF = dt.date(2024, 1, 31)
 HISTORY = "1996-01-01"  # where the metric view's history starts
@@ -80,11 +88,15 @@ def queries() -> dict[str, Query]:
         **_bronze(), **_silver(), **_gold(), **_metrics(), **questions.QUESTIONS,
         **_governance(), **_dashboards(), **_written(),
     }
-    return {name: _query(plan) for name, plan in found.items()}
+    return {name: _query(plan) for name, plan in found.items()} | _training_data()
+
+
+def _training_data() -> dict[str, Query]:
+    return {} if llm is None else {**llm.QUERIES, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return dict(ORACLE) | ({} if llm is None else llm.ORACLE)
 
 
 def _query(plan: Callable[[Lakehouse], DataFrame]) -> Query:
