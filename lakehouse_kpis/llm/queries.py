@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakehouse_kpis.llm import bpe, mixing, pii, quality, simhash
+from lakehouse_kpis.llm import (
+    bpe, html_text, language, mixing, pii, quality, shards, simhash, topk, vectors,
+)
 from lakehouse_kpis.llm.tables import table
 
 # Wanted shares of the domains in the mixture's tokens.
@@ -20,6 +22,10 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return pii.personal_data(documents, pii.fit(documents))
@@ -29,6 +35,14 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op4_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), TARGET_WEIGHTS
@@ -39,13 +53,41 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assigned(table(spark, sf_dir, "documents"))
+
+
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.searched(table(spark, sf_dir, "embeddings"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_personal_data, op3_bpe_round_trip, op6_mixture, op7_quality, op10_simhash,
+        op1_main_text, op2_personal_data, op3_bpe_round_trip, op4_vectors, op5_language,
+        op6_mixture, op7_quality, op8_shards, op9_top_k, op10_simhash,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS w
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0
+)
+SELECT query_id,
+  CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id, score
+FROM scored
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+""",
+}
