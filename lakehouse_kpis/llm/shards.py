@@ -26,6 +26,29 @@ def _unit(hashed: Column) -> Column:
     return F.shiftrightunsigned(hashed, 12) / F.lit(float(1 << 52))
 
 
+def _running(counts: DataFrame, group: str) -> DataFrame:
+    """s, b, before and rows: for each group and bin, the rows of its bins before and of all."""
+    return counts.select(
+        F.col(group).alias("s"), F.col("bin").alias("b"),
+        (F.sum("n").over(Window.partitionBy(group).orderBy("bin")) - F.col("n")).alias("before"),
+        F.sum("n").over(Window.partitionBy(group)).alias("rows"),
+    )
+
+
+def _phases(in_bins: DataFrame, seed: int, bins: int) -> DataFrame:
+    """source and phase, spread evenly over the sources that have equally many rows, so that the
+    rows of many small sources are interleaved as evenly as those of a large one."""
+    h = F.xxhash64(F.lit(seed), "source")
+    sources = in_bins.groupBy(F.col("src").alias("source")).agg(F.sum("n").alias("like")).select(
+        "source", "like", h.alias("h"), F.floor(_unit(h) * bins).cast("int").alias("bin")
+    )
+    alike = _running(sources.groupBy("like", "bin").agg(F.count("*").alias("n")), "like")
+    at = F.row_number().over(Window.partitionBy("like", "bin").orderBy("h", "source"))
+    return sources.withColumn("r", at).join(
+        alike, (F.col("like") == F.col("s")) & (F.col("bin") == F.col("b"))
+    ).select("source", ((F.col("before") + F.col("r") - 0.5) / F.col("rows")).alias("phase"))
+
+
 def sharded(
     rows: DataFrame, source: str, key: list[str], shards: int = SHARDS, seed: int = SEED,
     bins: int = BINS,
@@ -46,17 +69,15 @@ def sharded(
         F.xxhash64(F.lit(seed + 1), *reversed(names)).alias("h2"),
     ).withColumn("bin", F.floor(_unit(F.col("h1")) * bins).cast("int"))
 
-    per_source = base.groupBy("src", "bin").agg(F.count("*").alias("n")).select(
-        F.col("src").alias("s"), F.col("bin").alias("b"),
-        (F.sum("n").over(Window.partitionBy("src").orderBy("bin")) - F.col("n")).alias("before"),
-        F.sum("n").over(Window.partitionBy("src")).alias("rows"),
-    )
+    in_bins = base.groupBy("src", "bin").agg(F.count("*").alias("n"))
+    per_source = _running(in_bins, "src").join(
+        _phases(in_bins, seed + 2, bins), F.col("s").eqNullSafe(F.col("source"))
+    ).select("s", "b", "before", "rows", "phase")
     in_bin = Window.partitionBy("src", "bin").orderBy("h1", "h2")
     ranked = base.withColumn("r", F.row_number().over(in_bin)).join(
         per_source, F.col("src").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b"))
     )
-    phase = _unit(F.xxhash64(F.lit(seed + 2), "src"))
-    fraction = (F.col("before") + F.col("r") - 1 + phase) / F.col("rows")
+    fraction = (F.col("before") + F.col("r") - 1 + F.col("phase")) / F.col("rows")
     spread = ranked.select("row", "src", "h1", "h2", fraction.alias("f")).withColumn(
         "bin", F.least(F.floor(F.col("f") * bins), F.lit(bins - 1)).cast("int")
     )
