@@ -34,7 +34,7 @@ EVENTS = {
     "error": "find_dealer", "purchase": "request_quote",
 }
 DOMAINS = ["mail.example.com", "post.example.com", "pro.example.com"]
-STREETS = ["Maple", "Oak", "Cedar", "Birch", "Pine", "Granite", "Quartz"]
+STREETS = ["Harbour", "Lantern", "Meadow", "Quarry", "Saddle", "Tannery", "Willow"]
 SOMEBODY = "INTERN"  # a persona outside the domain, so that the domain check finds rows
 GROUPS = [
     "hr", "finance", "sales_leader", "global_leadership", "us_east", "us_west",
@@ -182,13 +182,12 @@ class RetailTables:
         )
 
     def _markups(self) -> DataFrame:
-        """Three charges per settled order; an open order has none yet."""
+        """Three charges per order."""
         total = money("o_totalprice")
         percent = F.left("o_orderpriority", F.lit(1)).cast("int") * F.lit(2)
         invoice = business_key("INV-D-", F.col("o_orderkey"), 7)
         charges = (
             self._orders(current=True)
-            .filter("o_orderstatus <> 'O'")
             .select(
                 invoice.alias("INVOICEID"),
                 F.col("o_orderdate").alias("TRANSDATE"),

@@ -87,7 +87,7 @@ b_customers AS (
     '+1-' || (c_custkey % 700 + 200) || '-' || (c_custkey * 17 % 900 + 100) || '-' ||
       lpad(CAST(c_custkey * 31 % 10000 AS VARCHAR), 4, '0') AS phone,
     (c_custkey * 23 % 9000 + 100) || ' ' ||
-      {choose(['Maple', 'Oak', 'Cedar', 'Birch', 'Pine', 'Granite', 'Quartz'], 'c_custkey')}
+      {choose(['Harbour', 'Lantern', 'Meadow', 'Quarry', 'Saddle', 'Tannery', 'Willow'], 'c_custkey')}
       AS street,
     n_name AS city,
     CASE n_regionkey WHEN 0 THEN 'NY' WHEN 1 THEN 'CA' WHEN 2 THEN 'QC' WHEN 3 THEN 'BC' END
@@ -118,7 +118,7 @@ b_charged AS (
   SELECT {text_key('INV-D-', 'o_orderkey', 7)} AS invoice, o_orderdate AS posted,
     CAST(o_totalprice AS DECIMAL(14,2)) AS whole,
     CAST(left(o_orderpriority, 1) AS INTEGER) * 2 AS pct
-  FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01' AND o_orderstatus <> 'O'),
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'),
 b_markups AS (
   SELECT invoice, posted, 'FREIGHT' AS code,
     {cents('whole * CAST(0.02 AS DECIMAL(3,2))')} AS value FROM b_charged
@@ -309,6 +309,7 @@ wide AS (
     year(invoice_date) || '-Q' || quarter(invoice_date) AS invoice_quarter
   FROM fact f LEFT JOIN customers c ON c.customer_key = f.customer_key
     LEFT JOIN products p ON p.product_key = f.product_key),
-metric AS (SELECT * FROM wide WHERE invoice_date >= DATE '1996-01-01')"""
+metric AS (SELECT * FROM wide WHERE invoice_date >= DATE '1995-01-01'),
+metric_floor AS (SELECT * FROM wide WHERE invoice_date >= DATE '1997-01-01')"""
 
 PRELUDE = f"WITH {LANDED.strip()},{CONFORMED},{MARTS}\n"

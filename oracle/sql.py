@@ -275,6 +275,7 @@ for key, dim in {
 add("metric_total", metric([], list(MEASURE)))
 add("metric_all_by_territory_line", metric(["Territory", "Product Line"], list(MEASURE)))
 add("metric_unfiltered_total", metric([], ["Line Count", "Net Revenue"], rows="wide"))
+add("metric_floor", metric(["Invoice Year"], ["Line Count", "Net Revenue"], rows="metric_floor"))
 add("metric_month_range", metric(
     ["Invoice Month"], ["Net Revenue"],
     "invoice_month BETWEEN DATE '2000-03-01' AND DATE '2000-11-01'"))
