@@ -138,6 +138,7 @@ def _silver() -> dict:
             lake.bronze("legacy_headers"), legacy_product_key()
         ),
         "silver_equal_allocation": _equal_allocation,
+        "silver_allocation_check": _allocation_check,
         "silver_dedupe_latest": lambda lake: dims.dedupe_latest(
             lake.table("fact_crm_deals").drop(dims.LOADED_AT), "customer_key",
             [F.desc("created_at"), F.desc("deal_id")],
@@ -158,19 +159,31 @@ def _revenue_per_day_kind(lake: Lakehouse) -> DataFrame:
     daily = lake.table("fact_invoice_lines").groupBy("invoice_date").agg(
         F.sum("net_invoice_amount").alias("net_revenue"), F.count("*").alias("line_count")
     )
-    calendar = dims.dim_date(lake.spark, dt.date(1995, 1, 1), dt.date(2004, 12, 31))
+    ends = daily.agg(F.min("invoice_date").alias("low"), F.max("invoice_date").alias("high"))
+    calendar = dims.calendar(ends.select(F.explode(F.expr("sequence(low, high)")).alias("date_key")))
     kinds = ["year_quarter", "month", "month_name", "day_of_week", "day_name", "is_weekend"]
     return (
-        daily.join(calendar, daily["invoice_date"] == calendar["date_key"]).groupBy(*kinds)
+        daily.join(calendar, daily["invoice_date"] == calendar["date_key"], "left").groupBy(*kinds)
         .agg(F.sum("net_revenue").alias("net_revenue"), F.sum("line_count").alias("line_count"))
     )
 
 
-def _equal_allocation(lake: Lakehouse) -> DataFrame:
-    fact = facts.fact_invoice_lines(
+def _divided_charges(lake: Lakehouse) -> DataFrame:
+    return facts.fact_invoice_lines(
         lake.bronze("invoice_lines"), lake.bronze("markups"), lake.bronze("legacy_headers"),
         "equal", legacy_product_key(),
     )
+
+
+def _allocation_check(lake: Lakehouse) -> DataFrame:
+    """What the shares of each invoice add up to."""
+    return _divided_charges(lake).groupBy("invoice_id").agg(
+        *[F.sum(c).alias(c) for c in facts.CHARGES], F.count("*").alias("line_count")
+    )
+
+
+def _equal_allocation(lake: Lakehouse) -> DataFrame:
+    fact = _divided_charges(lake)
     amounts = [*facts.CHARGES, "net_invoice_amount"]
     return fact.groupBy(month_of("invoice_date").alias("invoice_month"), "source_system").agg(
         *[F.sum(c).alias(c) for c in amounts]
@@ -220,6 +233,10 @@ def _metrics() -> dict:
             ["Product Tier"], ["Gross Revenue", "Units Sold"],
             where=["`Territory` LIKE 'US-%' AND `Invoice Year` > 1997"],
         ),
+        "metric_where_literal": lambda lake: lake.metrics.query(
+            ["Customer Segment"], ["Net Revenue", "Line Count"],
+            where=["`Territory` <> 'see `Territory`' AND `customer`.country <> '`Country`'"],
+        ),
         "metric_having": lambda lake: lake.metrics.query(
             ["Invoice Month", "Territory"], ["Net Revenue", "Invoice Count"],
             having="`Invoice Count` >= 20 AND `Net Revenue` > 0",

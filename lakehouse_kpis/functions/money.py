@@ -11,14 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType
 
 MONEY = DecimalType(18, 2)
-# A charge divided over the lines of an invoice keeps millionths.
-SHARE = DecimalType(18, 6)
+# Prices and costs of one unit keep what lies below a cent; any amount fits as a price.
+PRICE = DecimalType(22, 6)
 
 
 def money(col: Column | str) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast(MONEY)
 
 
+def price(col: Column | str) -> Column:
+    return (F.col(col) if isinstance(col, str) else col).cast(PRICE)
+
+
 def zero_if_null(col: Column | str) -> Column:
     col = F.col(col) if isinstance(col, str) else col
     return F.coalesce(col, F.lit(0).cast(MONEY))

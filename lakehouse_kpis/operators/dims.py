@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakehouse_kpis.functions.money import money
+from lakehouse_kpis.functions.money import money, price
 from lakehouse_kpis.functions.text import decode
 from lakehouse_kpis.sources import fixed
 from lakehouse_kpis.sources.inline import inline
@@ -49,8 +49,8 @@ def dim_product(products: DataFrame) -> DataFrame:
         .alias("product_line"),
         F.col("PRODUCTSUBTYPE").alias("product_tier"),
         F.col("SALESUNIT").alias("unit_of_measure"),
-        money("UNITCOST_USD").alias("unit_cost_usd"),
-        money("LISTPRICE_USD").alias("list_price_usd"),
+        price("UNITCOST_USD").alias("unit_cost_usd"),
+        price("LISTPRICE_USD").alias("list_price_usd"),
         _active(F.col("DISCONTINUED")).alias("is_active"),
         F.col("CREATEDDATETIME").alias("created_at"),
     ))
@@ -83,10 +83,17 @@ def dim_date(
     end: dt.date = dt.date(2027, 12, 31),
 ) -> DataFrame:
     """One row per calendar day, both ends included."""
+    days = spark.range((end - start).days + 1)
+    return calendar(
+        days.select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("date_key"))
+    )
+
+
+def calendar(days: DataFrame) -> DataFrame:
+    """Calendar attributes of the days in the column date_key."""
     day = F.col("date_key")
     quarter = F.concat(F.year(day).cast("string"), F.lit("-Q"), F.quarter(day).cast("string"))
-    days = spark.range((end - start).days + 1)
-    return days.select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("date_key")).select(
+    return days.select(
         day,
         F.year(day).alias("year"),
         F.quarter(day).alias("quarter"),

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakehouse_kpis.functions.money import MONEY, SHARE, money, zero_unless
+from lakehouse_kpis.functions.money import MONEY, money, price, zero_unless
 from lakehouse_kpis.operators.dims import stamped
 from lakehouse_kpis.sources import fixed
 
@@ -17,6 +17,8 @@ CHARGES = {
 
 # Copies of the per-invoice charges that the lines of one invoice are spread over.
 SPREAD = 4
+# Line numbers that are ranked together where charges are divided over lines.
+BLOCK = 100_000
 
 
 def markup_pivot(markups: DataFrame) -> DataFrame:
@@ -37,7 +39,7 @@ def current_lines(lines: DataFrame) -> DataFrame:
         F.col("INVOICEACCOUNT").alias("customer_key"),
         F.col("ITEMID").alias("product_key"),
         F.col("QTY").alias("quantity"),
-        money("SALESPRICE").alias("unit_sales_price"),
+        price("SALESPRICE").alias("unit_sales_price"),
         money("LINEAMOUNT").alias("gross_line_amount"),
         money("TAXAMOUNT").alias("tax_amount"),
         F.col("CURRENCYCODE").alias("currency"),
@@ -64,7 +66,7 @@ def header_as_line(headers: DataFrame, product_key: Column | None = None) -> Dat
         F.col("INVOICEACCOUNT").alias("customer_key"),
         (hashed_product_key(192) if product_key is None else product_key).alias("product_key"),
         F.lit(1).alias("quantity"),
-        amount.alias("unit_sales_price"),
+        price(amount).alias("unit_sales_price"),
         amount.alias("gross_line_amount"),
         money("SALESTAXAMOUNT").alias("tax_amount"),
         F.col("CURRENCYCODE").alias("currency"),
@@ -83,9 +85,9 @@ def fact_invoice_lines(
     """Lines of both invoice systems with the charges of their invoice.
 
     allocation="repeat" puts the whole charge on every line of the invoice, "equal"
-    divides it by the number of lines.
+    divides it over the lines: see `_divided`.
 
-    The join key is (invoice, slot): each line takes one of `spread` slots and the charges,
+    With "repeat" the join key is (invoice, slot): each line takes one of `spread` slots and the charges,
     one narrow row per invoice, are copied to every slot. The lines of one huge invoice so
     go to several tasks; and as the charges are not already partitioned by that key, the
     join gets shuffles of its own, which AQE can split further. spread=1 joins by invoice
@@ -95,14 +97,8 @@ def fact_invoice_lines(
         raise ValueError(f"allocation must be 'repeat' or 'equal', not {allocation!r}")
     unified = current_lines(lines).unionByName(header_as_line(headers, product_key))
     charges = markup_pivot(markups).withColumnRenamed("INVOICEID", "invoice_id")
-    kept = MONEY
     if allocation == "equal":
-        kept = SHARE
-        # counted by aggregation, not by a window, which would gather an invoice in a task
-        sizes = unified.groupBy("invoice_id").agg(F.count("*").alias("lines"))
-        charges = charges.join(sizes, "invoice_id").select(
-            "invoice_id", *[(F.col(c) / F.col("lines")).cast(SHARE).alias(c) for c in CHARGES]
-        )
+        return _with_net(_divided(unified, charges))
     on = ["invoice_id"]
     if spread > 1:
         on = ["invoice_id", "_slot"]
@@ -111,9 +107,41 @@ def fact_invoice_lines(
         # by the line's own values, so that a retried task puts it in the same slot
         own = F.xxhash64("invoice_id", "line_num", "product_key", "gross_line_amount")
         unified = unified.withColumn("_slot", F.pmod(own, F.lit(spread)).cast("int"))
-    joined = unified.join(charges, on, "left")
-    parts = [F.coalesce(F.col(c), F.lit(0).cast(kept)) for c in CHARGES]
-    net = sum(parts, F.col("gross_line_amount")).cast(kept)
+    return _with_net(unified.join(charges, on, "left"))
+
+
+def _divided(lines: DataFrame, charges: DataFrame) -> DataFrame:
+    """Lines with their shares of the charges, in whole cents that add up to the charge.
+
+    What does not divide goes cent by cent to the first lines in the order of their numbers.
+    Lines are ranked within blocks of line numbers, and a block starts where the counts of the
+    blocks before it end, so an invoice of any length is ranked in many tasks.
+    """
+    block = F.expr(f"line_num div {BLOCK}")
+    sizes = lines.groupBy("invoice_id", block.alias("_block")).agg(F.count("*").alias("_n"))
+    whole = Window.partitionBy("invoice_id")
+    sizes = sizes.select(
+        "invoice_id", "_block", F.sum("_n").over(whole).alias("_lines"),
+        (F.sum("_n").over(whole.orderBy("_block")) - F.col("_n")).alias("_before"),
+    ).join(charges, "invoice_id")
+    # lines that share a number are told apart by their other values, the same way in a retry
+    order = ["line_num", *[c for c in lines.columns if c not in ("invoice_id", "line_num")]]
+    place = F.row_number().over(Window.partitionBy("invoice_id", "_block").orderBy(*order))
+    placed = lines.withColumn("_block", block).withColumn("_place", place)
+
+    def share(charge: str) -> Column:
+        cents = f"abs(CAST({charge} * 100 AS BIGINT))"
+        extra = f"IF(_before + _place <= {cents} % _lines, 1, 0)"
+        own = f"IF({charge} < 0, -1, 1) * ({cents} div _lines + {extra})"
+        return F.expr(f"CAST({own} AS DECIMAL(18,0)) * 0.01BD").cast(MONEY)
+
+    joined = placed.join(sizes, ["invoice_id", "_block"], "left")
+    return joined.withColumns({c: share(c) for c in CHARGES})
+
+
+def _with_net(joined: DataFrame) -> DataFrame:
+    parts = [F.coalesce(F.col(c), F.lit(0).cast(MONEY)) for c in CHARGES]
+    net = sum(parts, F.col("gross_line_amount")).cast(MONEY)
     return stamped(joined.select(
         "invoice_id", "line_num", "invoice_date", "customer_key", "product_key", "quantity",
         "unit_sales_price", "gross_line_amount",

@@ -27,7 +27,13 @@ _OPS = {
     "=": operator.eq, "<>": operator.ne, "<": operator.lt, "<=": operator.le,
     ">": operator.gt, ">=": operator.ge,
 }
-_NAMED = re.compile(r"`([^`]+)`")
+# a string literal, which is left as it is, or a name in back-ticks
+_NAMED = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`([^`]+)`", re.DOTALL)
+
+
+def _mentions(table: str, text: str) -> bool:
+    """Whether an expression names a column of the table, its alias quoted or not."""
+    return re.search(rf"(?<!\w)`?{re.escape(table)}`?\s*\.", text, re.IGNORECASE) is not None
 
 
 @dataclass(frozen=True)
@@ -51,7 +57,8 @@ class Join:
 
     @property
     def keys(self) -> list[str]:
-        return re.findall(rf"\b{self.name}\.`?(\w+)`?", self.on)
+        own = rf"(?<!\w)`?{re.escape(self.name)}`?\s*\.\s*`?(\w+)`?"
+        return re.findall(own, self.on, re.IGNORECASE)
 
     def most_copies(self, table: DataFrame) -> DataFrame:
         """One row: how often the most frequent key occurs. NULL keys never match."""
@@ -181,12 +188,14 @@ class Metrics:
         no row.
         """
         rows = self.tables[self.view.source].alias("source")
-        if self.view.filter:
-            rows = rows.filter(self.view.filter)
+        floor = self.view.filter or ""
+        early = floor and not any(_mentions(j.name, floor) for j in self.view.joins)
+        if early:
+            rows = rows.filter(floor)
         used: list[Join] = []
         for join in reversed(self.view.joins):
-            later = [*texts, *[j.on for j in used]]
-            if any(re.search(rf"\b{join.name}\.", text) for text in later):
+            later = [*texts, floor, *[j.on for j in used]]
+            if any(_mentions(join.name, text) for text in later):
                 used.insert(0, join)
         for join in used:
             table = self.tables[join.source]
@@ -195,7 +204,7 @@ class Metrics:
             elif join.on_duplicate == "error":
                 rows = rows.filter(self._unique(join, table))
             rows = rows.join(table.alias(join.name), F.expr(join.on), "left")
-        return rows
+        return rows.filter(floor) if floor and not early else rows
 
     def _unique(self, join: Join, table: DataFrame) -> Column:
         """True, or an error when the key of the dimension is not unique.

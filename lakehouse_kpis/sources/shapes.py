@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _M = "decimal(18,2)"
+_P = "decimal(22,6)"  # of one unit
 
 SHAPES: dict[str, dict[str, str]] = {
     "products": {
         "ITEMID": "string", "ITEMNAME": "string", "ITEMGROUPID": "string",
-        "PRODUCTSUBTYPE": "string", "SALESUNIT": "string", "UNITCOST_USD": _M,
-        "LISTPRICE_USD": _M, "DISCONTINUED": "int", "CREATEDDATETIME": "timestamp_ntz",
+        "PRODUCTSUBTYPE": "string", "SALESUNIT": "string", "UNITCOST_USD": _P,
+        "LISTPRICE_USD": _P, "DISCONTINUED": "int", "CREATEDDATETIME": "timestamp_ntz",
         "DATAAREAID": "string",
     },
     "customers": {
@@ -27,7 +28,7 @@ SHAPES: dict[str, dict[str, str]] = {
     },
     "invoice_lines": {
         "INVOICEID": "string", "LINENUM": "int", "INVOICEACCOUNT": "string",
-        "ITEMID": "string", "INVOICEDATE": "date", "QTY": "int", "SALESPRICE": _M,
+        "ITEMID": "string", "INVOICEDATE": "date", "QTY": "int", "SALESPRICE": _P,
         "LINEAMOUNT": _M, "TAXAMOUNT": _M, "CURRENCYCODE": "string", "DATAAREAID": "string",
         "POSTEDDATETIME": "timestamp_ntz", "_SYSROWID": "string",
         "_SINKMODIFIEDTIME": "timestamp_ntz",

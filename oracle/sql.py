@@ -119,22 +119,31 @@ add("silver_fact_invoice_lines", f"SELECT {doubled(FACT_MONEY)} FROM fact")
 
 
 def share(charge: str) -> str:
-    """Charge / lines to the millionth, as an integer number of millionths."""
-    return f"""CAST(round({dbl(f'coalesce({charge}, 0)')} * 1000000 / lines) AS BIGINT)"""
+    """A line's part of a charge in whole cents; odd cents go to the first lines."""
+    cents = f"CAST(coalesce({charge}, 0) * 100 AS BIGINT)"
+    return f"sign({cents}) * (abs({cents}) // lines + CAST(place <= abs({cents}) % lines AS INT))"
 
 
 add("silver_equal_allocation", f"""
-, sizes AS (SELECT invoice, count(*) AS lines FROM all_lines GROUP BY invoice),
+, placed AS (
+  SELECT *, row_number() OVER (PARTITION BY invoice ORDER BY num) AS place,
+    count(*) OVER (PARTITION BY invoice) AS lines
+  FROM all_lines),
 shared AS (
   SELECT CAST(date_trunc('month', day) AS DATE) AS invoice_month, system AS source_system,
     {share('freight')} AS freight, {share('discount')} AS discount, {share('pallet')} AS pallet,
-    CAST(amount * 1000000 AS BIGINT) AS gross
-  FROM all_lines JOIN sizes USING (invoice) LEFT JOIN pivot_charges USING (invoice))
-SELECT invoice_month, source_system, {dbl('sum(freight)')} / 1000000 AS freight_amount,
-  {dbl('sum(discount)')} / 1000000 AS discount_amount,
-  {dbl('sum(pallet)')} / 1000000 AS pallet_amount,
-  {dbl('sum(gross + freight + discount + pallet)')} / 1000000 AS net_invoice_amount
+    CAST(amount * 100 AS BIGINT) AS gross
+  FROM placed LEFT JOIN pivot_charges USING (invoice))
+SELECT invoice_month, source_system, {dbl('sum(freight)')} / 100 AS freight_amount,
+  {dbl('sum(discount)')} / 100 AS discount_amount, {dbl('sum(pallet)')} / 100 AS pallet_amount,
+  {dbl('sum(gross + freight + discount + pallet)')} / 100 AS net_invoice_amount
 FROM shared GROUP BY invoice_month, source_system""")
+add("silver_allocation_check", f"""
+SELECT invoice AS invoice_id, {dbl('coalesce(freight, 0)')} AS freight_amount,
+  {dbl('coalesce(discount, 0)')} AS discount_amount,
+  {dbl('coalesce(pallet, 0)')} AS pallet_amount, line_count
+FROM (SELECT invoice, {big('count(*)')} AS line_count FROM all_lines GROUP BY invoice)
+LEFT JOIN pivot_charges USING (invoice)""")
 add("silver_fact_gl_transactions", f"SELECT {doubled(['amount_usd'])} FROM gl")
 add("silver_fact_web_engagement", "SELECT * FROM web")
 add("silver_fact_crm_deals", f"SELECT {doubled(['amount_usd'])} FROM deals")
@@ -282,6 +291,9 @@ add("metric_month_range", metric(
 add("metric_where_text", metric(
     ["Product Tier"], ["Gross Revenue", "Units Sold"],
     "starts_with(territory, 'US-') AND invoice_year > 1997"))
+add("metric_where_literal", metric(
+    ["Customer Segment"], ["Net Revenue", "Line Count"],
+    "territory IS NOT NULL AND country IS NOT NULL"))
 add("metric_having", metric(["Invoice Month", "Territory"], ["Net Revenue", "Invoice Count"])
     + f" HAVING {_INVOICES} >= 20 AND {_NET} > 0")
 add("metric_rank", f"""

@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -210,3 +211,21 @@ def test_keys_verified_once(spark):
     assert [j.on_duplicate for j in half.joins] == ["trust", "error"]
     with pytest.raises(PySparkException, match="not unique"):
         half.bind(twice).query(["Product Line"], ["Net Revenue"]).collect()
+
+
+def test_literals_and_quoted_aliases_in_conditions(spark):
+    """A literal that holds a dimension's name stays as it is; `alias`.column needs its join."""
+    rows = tables(spark)
+    odd = [("C1", "see `Territory`", "US", "HOMEOWNER"), ("C2", None, None, "CONTRACTOR")]
+    rows["dim_customer"] = spark.createDataFrame(odd, rows["dim_customer"].schema)
+    bound = SALES_METRICS.bind(rows)
+    by_text = bound.query([], ["Line Count"], where=["`Territory` = 'see `Territory`'"])
+    by_tuple = bound.query([], ["Line Count"], where=[("Territory", "=", "see `Territory`")])
+    assert listed(by_text) == listed(by_tuple) == [(1,)]
+    quoted = bound.query([], ["Line Count"], where=["`customer`.country = 'US'"])
+    assert listed(quoted) == [(1,)]
+
+
+def test_view_filter_on_a_joined_column(spark):
+    view = dataclasses.replace(SALES_METRICS, filter="customer.customer_segment = 'CONTRACTOR'")
+    assert listed(view.bind(tables(spark)).query([], ["Line Count"])) == [(1,)]

@@ -5,7 +5,9 @@ import pytest
 from conftest import final_plan, listed
 from pyspark.sql import functions as F
 
+from lakehouse_kpis.functions.money import price
 from lakehouse_kpis.operators import dims, facts
+from lakehouse_kpis.sources.shapes import SHAPES
 
 D = dt.date(2024, 1, 1)
 LINE = ("INVOICEID string, LINENUM int, INVOICEACCOUNT string, ITEMID string, INVOICEDATE date,"
@@ -55,12 +57,33 @@ def test_equal_allocation_keeps_the_total(landed):
         F.sum(F.col("freight_amount") + F.col("discount_amount") + F.col("pallet_amount")),
         F.sum(F.col("net_invoice_amount") - F.col("gross_line_amount")),
     ).first()
-    for total in charged:
-        assert abs(total - decimal.Decimal("47.5")) <= decimal.Decimal("0.000003")
+    assert set(charged) == {decimal.Decimal("47.5")}
     with pytest.raises(ValueError):
         facts.fact_invoice_lines(*landed, allocation="some")
 
 
+def test_odd_cents_go_to_the_first_lines(spark, landed):
+    numbers = [5, 100_001, 200_000, 7, 300_000, 5]  # in several blocks, and one number twice
+    lines = landed[0].limit(1).drop("LINENUM", "INVOICEID").crossJoin(
+        spark.createDataFrame([("X", n) for n in numbers], "INVOICEID string, LINENUM int"))
+    charges = spark.createDataFrame([
+        ("X", "FREIGHT", 100.0), ("X", "DISCOUNT", -0.05), ("X", "PALLET", 0.06)],
+        "INVOICEID string, MARKUPCODE string, VALUE double")
+    fact = facts.fact_invoice_lines(lines, charges, landed[2].limit(0), allocation="equal")
+    parts = listed(fact, "line_num", *facts.CHARGES)
+    at = {n: [tuple(map(float, p[1:])) for p in parts if p[0] == n] for n in numbers}
+    assert sorted(at[5]) == [(16.67, -0.01, 0.01)] * 2
+    assert at[7] == at[100_001] == [(16.67, -0.01, 0.01)]
+    assert at[200_000] == [(16.66, -0.01, 0.01)] and at[300_000] == [(16.66, 0.0, 0.01)]
+
+
+def test_unit_prices_keep_parts_of_a_cent(spark):
+    row = spark.createDataFrame([(0.0049, 1.2345)], "UNITCOST_USD double, LISTPRICE_USD double")
+    kinds = {c: SHAPES["products"][c] for c in row.columns}
+    got = row.select(*[price(F.col(c).cast(t)) for c, t in kinds.items()]).first()
+    assert tuple(map(float, got)) == (0.0049, 1.2345)
+
+
 def test_header_becomes_one_line(landed):
     row = facts.header_as_line(landed[2]).first()
     assert (row.line_num, row.quantity, float(row.unit_sales_price)) == (1, 1, 100.0)
