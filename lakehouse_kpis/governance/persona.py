@@ -64,8 +64,9 @@ class PersonaTable:
     """The persona table in files, a folder per version.
 
     A parquet table cannot be overwritten while it is read, so each change writes the next
-    version, and readers take the newest one that was written to its end. Two changes at
-    once go for the same version: the second one fails and can be tried again.
+    version, and readers take the newest one that was written to its end. The number of a write
+    that was broken off is not used again. Two changes at once go for the same version: the
+    second one fails and can be tried again.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -81,19 +82,27 @@ class PersonaTable:
         self._write(set_persona(self.read(), user, persona, at))
 
     def change(self, changes: DataFrame) -> None:
-        """Many users at once."""
+        """Many users at once; none if a persona is unknown."""
+        unknown = invalid_rows(changes).first()
+        if unknown:
+            raise ValueError(f"unknown persona {unknown['persona']!r}")
         self._write(upsert(self.read(), changes))
 
     def _write(self, df: DataFrame) -> None:
-        df.write.mode("errorifexists").parquet(self._folder((self._newest() or 0) + 1))
+        df.write.mode("errorifexists").parquet(self._folder((self._last("") or 0) + 1))
 
     def _folder(self, version: int) -> str:
         return f"{self.path}/version={version:09d}"
 
     def _newest(self) -> int | None:
+        return self._last("/_SUCCESS")
+
+    def _last(self, held: str) -> int | None:
+        """The highest number of a version that holds the file, of any version for ""."""
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        done = hadoop.Path(f"{self.path}/version=*/_SUCCESS")
+        done = hadoop.Path(f"{self.path}/version=*{held}")
         files = done.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         found = files.globStatus(done) or []
-        names = [f.getPath().getParent().getName() for f in found]
+        paths = [f.getPath().getParent() if held else f.getPath() for f in found]
+        names = [p.getName() for p in paths]
         return max((int(n.removeprefix("version=")) for n in names), default=None)

@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakehouse_kpis.functions.dates import month_start
 from lakehouse_kpis.operators.ranges import between
@@ -47,7 +48,13 @@ class MaterializedView:
             self._drop_all_but(self._write(self.define(months), "dynamic"), months)
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path).drop(REFRESH)
+        return self._marked().drop(REFRESH)
+
+    def _marked(self) -> DataFrame:
+        """With the definition's schema, so that a view without rows can be read as well."""
+        mark = StructField(REFRESH, StringType())
+        schema = StructType([*self.define(None).schema.fields, mark])
+        return self.spark.read.schema(schema).parquet(self.path)
 
     def _write(self, df: DataFrame, overwrite: str) -> str:
         """Write the rows, marked with the refresh that made them.
@@ -65,7 +72,7 @@ class MaterializedView:
     def _drop_all_but(self, refresh: str, months: Sequence[dt.date]) -> None:
         """Remove the refreshed months that have no rows any more: dynamic overwrite leaves
         them as they were, with the mark of an earlier refresh. Reads the mark alone."""
-        marked = self.spark.read.parquet(self.path).filter(F.col(self.month).isin(list(months)))
+        marked = self._marked().filter(F.col(self.month).isin(list(months)))
         stale = marked.filter(F.col(REFRESH) != refresh).select(self.month).distinct()
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()

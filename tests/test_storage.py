@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakehouse_kpis import Lakehouse
 from lakehouse_kpis.catalog import Catalog
+from lakehouse_kpis.governance.persona import SCHEMA, PersonaTable
 from lakehouse_kpis.operators.matview import MaterializedView, in_months
 from lakehouse_kpis.plans import questions
 from lakehouse_kpis.session import shared_dir
@@ -124,3 +125,31 @@ def test_incremental_refresh_equals_full(spark):
 
 def test_shared_folder_is_the_sessions(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_view_without_rows_is_readable(spark, tmp_path):
+    """After a refresh that yields nothing, and after the only month has been emptied."""
+    month = dt.date(2024, 1, 1)
+    rows = spark.createDataFrame([(month, 1.0)], "invoice_month date, v double")
+    held = {"now": rows.limit(0)}
+    view = MaterializedView(spark, str(tmp_path / "mv"), lambda months: held["now"])
+    view.refresh()
+    assert view.read().count() == 0
+    held["now"] = rows
+    view.refresh([month])
+    assert [tuple(r) for r in view.read().select("invoice_month", "v").collect()] == [(month, 1.0)]
+    held["now"] = rows.limit(0)
+    view.refresh([month])
+    assert view.read().count() == 0
+
+
+def test_personas_survive_a_broken_write(spark, tmp_path):
+    table = PersonaTable(spark, str(tmp_path / "personas"))
+    at = dt.datetime(2024, 1, 1)
+    table.set("a@example.com", "HR", at)
+    (tmp_path / "personas" / "version=000000002").mkdir()  # a write that never ended
+    table.set("b@example.com", "FINANCE", at)
+    assert table.read().count() == 2
+    with pytest.raises(ValueError):
+        table.change(spark.createDataFrame([("c", "NOPE", at)], SCHEMA))
+    assert table.read().count() == 2
