@@ -1,12 +1,10 @@
-"""Near-duplicate vectors by a robust-pruned flat graph.
+"""Near-duplicate vectors by exact comparison within overlapping shards.
 
 Vectors of a label are dealt to shards round pivots, each vector to the few pivots nearest to it, so
 shards overlap. A shard is a bounded piece of work: one with more vectors than that is cut into
-parts, and every pair of parts is a piece. In each piece the nearest neighbours of a vector are pruned
-robustly (a neighbour is left out if a chosen one is closer to it by a factor than the vector itself
-is), and the pieces' adjacency lists are united by vector. The search runs over the united lists: a greedy walk from the
-medoid to the query, then outwards over all vectors within the widened range. What it finds is
-verified by the cosine in double precision.
+parts, and every pair of parts is a piece. Within a piece every vector is compared with every other
+one in a block product, in double precision, so a pair that any piece holds is found in all of its
+pieces.
 
 A pair that meets in several pieces is counted in one of them. Pieces give counts of links and a
 spanning forest, never the pairs, so a group of near copies costs rows in proportion to its size.
@@ -35,8 +33,7 @@ NEAREST = 3          # pivots that a vector is dealt to
 DEGREE = 24          # out-edges of a vector within a piece
 POOL = 64            # nearest neighbours that pruning chooses from
 ALPHA = 1.2          # of the robust pruning
-BEAM = 8             # vectors that the greedy walk expands at a time
-SLACK = 0.10         # by which the range of the search is wider than that of a link
+BORDER = 1e-12       # cosines this close to the bound are summed again, pair by pair
 RECALL = 0.98        # wanted in the audit
 AUDITED = 256        # vectors in the audit
 BATCH = 1024
@@ -126,7 +123,8 @@ PIECE_KEYS = ["space", "shard", "i", "j"]
 
 
 def pruned(unit: np.ndarray) -> list[np.ndarray]:
-    """Out-neighbours of each vector after robust pruning of its nearest ones."""
+    """Out-neighbours of each vector after robust pruning of its nearest ones. Links are not sought
+    over these lists: in a piece with a large group of near copies they do not lead out of it."""
     n = len(unit)
     sims = unit @ unit.T
     np.fill_diagonal(sims, -np.inf)
@@ -151,105 +149,68 @@ def pruned(unit: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def adjacency(piece_rows: DataFrame) -> DataFrame:
-    """rep and out: the neighbours of every vector, united over all pieces it is in."""
-    def build(frame: pd.DataFrame) -> pd.DataFrame:
-        reps = frame["rep"].to_numpy()
-        found = pruned(_unit(frame["v"]))
-        return pd.DataFrame({"rep": reps, "out": [reps[a] if len(a) else [] for a in found]})
-
-    lists = piece_rows.select("rep", "v", *PIECE_KEYS).groupBy(*PIECE_KEYS).applyInPandas(
-        build, "rep bigint, out array<bigint>"
-    )
-    # as many lists as a vector has pieces
-    return lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("out"))).alias("out"))
-
-
-def range_search(unit: np.ndarray, out: list[np.ndarray], least: float) -> Iterator[np.ndarray]:
-    """For each vector, those within `least` of it that a walk from the medoid and an expansion of the
-    range reach over the lists `out`."""
-    n = len(unit)
-    start = int(np.argmax(unit @ unit.mean(axis=0)))
-    wide = least - SLACK
-    for q in range(n):
-        sims = np.full(n, -np.inf)
-        open_ = np.zeros(n, bool)
-        sims[start], open_[start] = unit[start] @ unit[q], True
-        best, stale = -np.inf, 0
-        while True:
-            at = np.flatnonzero(open_)
-            if not len(at):
-                break
-            within = at[sims[at] >= wide]
-            if not len(within):
-                # the walk: on from the best ones, until they lead no nearer
-                within = at[np.argsort(-sims[at])[:BEAM]]
-                stale = 0 if sims[within[0]] > best else stale + 1
-                best = max(best, sims[within[0]])
-                if stale > 4:
-                    break
-            open_[within] = False
-            reached = np.unique(np.concatenate([out[i] for i in within]))
-            new = reached[np.isneginf(sims[reached])]
-            if len(new):
-                sims[new] = unit[new] @ unit[q]
-                open_[new] = True
-        yield np.flatnonzero(sims >= least - 1e-9)
+def within(a: np.ndarray, b: np.ndarray, cosine: float) -> np.ndarray:
+    """Whether each unit vector of `a` is within `cosine` of each of `b`. What is decided in the last
+    digits does not depend on the block that a pair is in."""
+    sims = a @ b.T
+    near = sims >= cosine
+    p, q = np.nonzero(np.abs(sims - cosine) <= BORDER)
+    for at in range(0, len(p), 65_536):
+        i, j = p[at:at + 65_536], q[at:at + 65_536]
+        near[i, j] = (a[i] * b[j]).sum(axis=1) >= cosine
+    return near
 
 
-def _owned(frame: pd.DataFrame, q: int, found: np.ndarray, shards: list[set]) -> np.ndarray:
-    """Those of the found vectors whose pair with q is counted in this piece."""
+def _owned(frame: pd.DataFrame) -> np.ndarray:
+    """Whether the pair of each two vectors of a piece is counted in it: the pair's parts are the
+    piece's, and the vectors have no earlier shard in common."""
     shard, i, j = (frame[c].iat[0] for c in ("shard", "i", "j"))
     part = frame["part"].to_numpy()
-    own = (np.minimum(part[q], part[found]) == i) & (np.maximum(part[q], part[found]) == j)
-    first = np.array([min(shards[q] & shards[f]) == shard for f in found], bool)
-    return found[own & first]
-
-
-def linked(piece_rows: DataFrame, lists: DataFrame, cosine: float) -> DataFrame:
+    own = part[:, None] != part[None, :] if i != j else np.ones((len(part),) * 2, bool)
+    row = np.repeat(np.arange(len(part)), frame["shards"].map(len))
+    of = np.concatenate(frame["shards"].to_numpy())
+    _, column, held = np.unique(of, return_inverse=True, return_counts=True)
+    at = (of < shard) & (held[column] > 1)
+    if at.any():
+        columns, column = np.unique(column[at], return_inverse=True)
+        member = np.zeros((len(part), len(columns)), np.float32)
+        member[row[at], column] = 1
+        own &= member @ member.T == 0
+    return own
+
+
+def _least_reached(near: np.ndarray) -> np.ndarray:
+    """For each node of a symmetric adjacency matrix the smallest one that it is connected with."""
+    least = np.full(len(near), -1)
+    for start in range(len(near)):
+        if least[start] < 0:
+            new = np.array([start])
+            while len(new):
+                least[new] = start
+                new = np.flatnonzero(near[new].any(axis=0) & (least < 0))
+    return least
+
+
+def linked(piece_rows: DataFrame, cosine: float) -> DataFrame:
     """rep, links and to: in each piece, the rows that a vector is linked with there, and the end of an edge of
     the piece's spanning forest (null: none)."""
-    def search(frame: pd.DataFrame) -> pd.DataFrame:
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
         reps, n = frame["rep"].to_numpy(), frame["n"].to_numpy()
         unit = _unit(frame["v"])
-        place = pd.Series(np.arange(len(reps)), index=reps)
-        out = []
-        for row in frame["out"]:
-            here = place.reindex(np.asarray(row, np.int64)).dropna().to_numpy(np.int64)
-            out.append(here)
-        near: list[set] = [set() for _ in reps]
-        for q, found in enumerate(range_search(unit, out, cosine)):
-            for f in found.tolist():
-                if f != q:
-                    near[q].add(f)
-                    near[f].add(q)  # found from either end
-        shards = [set(np.asarray(s).tolist()) for s in frame["shards"]]
+        near = within(unit, unit, cosine)
+        near |= near.T
+        np.fill_diagonal(near, False)
+        near &= _owned(frame)
         links, to = np.zeros(len(reps), np.int64), [None] * len(reps)
-        root = list(range(len(reps)))
-
-        def top(x: int) -> int:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        for q in range(len(reps)):
-            found = np.array(sorted(near[q]), np.int64)
-            if len(found):
-                found = found[(unit[found] * unit[q]).sum(axis=1) >= cosine]
-            if len(found):
-                found = _owned(frame, q, found, shards)
-                links[q] = n[found].sum()
-            for f in found.tolist():
-                a, b = top(q), top(f)
-                root[max(a, b)] = min(a, b)
-        for q in range(len(reps)):
-            if top(q) != q:
-                to[q] = reps[top(q)]
+        for q in np.flatnonzero(near.any(axis=1)):
+            links[q] = n[near[q]].sum()
+        for q, top in enumerate(_least_reached(near)):
+            if top != q:
+                to[q] = reps[top]
         return pd.DataFrame({"rep": reps, "links": links, "to": pd.array(to, dtype="Int64")})
 
-    return piece_rows.join(lists, "rep").groupBy(*PIECE_KEYS).applyInPandas(
-        search, "rep bigint, links bigint, to bigint"
+    return piece_rows.groupBy(*PIECE_KEYS).applyInPandas(
+        compare, "rep bigint, links bigint, to bigint"
     )
 
 
@@ -298,7 +259,7 @@ def near_duplicates(
     most = max([len(c) for c in centres.values()], default=1)
     while True:
         split = stored(pieces(dealt(distinct, centres, nearest), 2 * piece), "pieces")
-        found = stored(linked(split, stored(adjacency(split), "lists"), cosine), "links")
+        found = stored(linked(split, cosine), "links")
         if nearest >= most or recall(distinct, found, cosine) >= RECALL:
             break
         nearest *= 2

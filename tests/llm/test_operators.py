@@ -142,6 +142,28 @@ def test_vectors_against_all_pairs(spark):
     assert vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+def hot_group_and_pairs(hot, pairs, dim=64, seed=11):
+    """Near copies of one vector, then pairs of near copies; and the number of links of each."""
+    rng = np.random.default_rng(seed)
+    middles = np.vstack([np.repeat(rng.normal(size=(1, dim)), hot, 0),
+                         np.repeat(rng.normal(size=(pairs, dim)), 2, 0)])
+    every = (middles + 0.12 * rng.normal(size=middles.shape)).astype(np.float32)
+    unit = every.astype(float) / np.linalg.norm(every.astype(float), axis=1, keepdims=True)
+    link = unit @ unit.T >= 0.93
+    np.fill_diagonal(link, False)
+    return every, link
+
+
+@pytest.mark.parametrize("hot, pairs", [(100, 462), (340, 342)])
+def test_vectors_links_outside_a_hot_group(spark, hot, pairs):
+    every, link = hot_group_and_pairs(hot, pairs)
+    assert (link.sum(1)[hot:] == 1).all() and link[:hot].sum(1).min() > vectors.POOL
+    rows = [(i, v.tolist(), 1, "x", 1) for i, v in enumerate(every)]
+    found = {r["vec_id"]: r for r in vectors.near_duplicates(spark.createDataFrame(rows, VECS)).collect()}
+    assert [found[i]["n_links"] for i in range(len(rows))] == link.sum(1).tolist()
+    assert all(found[i]["component_id"] == i - (i - hot) % 2 for i in range(hot, len(rows)))
+
+
 def test_robust_pruning_keeps_the_nearest():
     unit = np.random.default_rng(3).normal(size=(100, 8))
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
