@@ -164,6 +164,30 @@ def test_vectors_links_outside_a_hot_group(spark, hot, pairs):
     assert all(found[i]["component_id"] == i - (i - hot) % 2 for i in range(hot, len(rows)))
 
 
+def test_vectors_audit_of_every_size_of_group(spark):
+    every, _ = hot_group_and_pairs(0, 100, dim=16, seed=12)
+    hot = every[:1] * -1 + 0.001 * np.arange(6)[:, None]  # six vectors, each with 300 copies
+    every = np.vstack([every, np.repeat(hot, 300, 0)]).astype(np.float32)
+    unit = every.astype(float) / np.linalg.norm(every.astype(float), axis=1, keepdims=True)
+    true = (unit @ unit.T >= 0.93).sum(1) - 1
+    df = spark.createDataFrame([(i, v.tolist(), 1, "x", 1) for i, v in enumerate(every)], VECS)
+    found = {r["vec_id"]: r["n_links"] for r in vectors.near_duplicates(df, piece=16, nearest=1).collect()}
+    linked = np.flatnonzero(true[:200] > 0)
+    share = np.array([found[i] / true[i] for i in linked])
+    assert len(linked) > 150 and share.max() <= 1 and share.mean() >= vectors.RECALL
+    assert all(found[i] == true[i] for i in range(200, len(every)))
+
+
+def test_vectors_raise_where_links_stay_lost(spark, monkeypatch):
+    every, _ = hot_group_and_pairs(200, 30)
+    whole = vectors.linked
+    few = F.when(F.col("links") > 10, F.col("links")).otherwise(0).alias("links")
+    monkeypatch.setattr(vectors, "linked", lambda *a: whole(*a).select("rep", few, "to"))
+    df = spark.createDataFrame([(i, v.tolist(), 1, "x", 1) for i, v in enumerate(every)], VECS)
+    with pytest.raises(RuntimeError, match="links are missing"):
+        vectors.near_duplicates(df)
+
+
 def test_robust_pruning_keeps_the_nearest():
     unit = np.random.default_rng(3).normal(size=(100, 8))
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
