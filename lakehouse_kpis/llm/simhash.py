@@ -198,13 +198,17 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
-    """The rows of `documents`, columns unchanged, without near duplicates: of each component the
-    document with the smallest id stays.
+    """The rows of `documents`, columns unchanged, without near duplicates."""
+    return without_copies(documents, near_duplicates(documents.where("doc_id IS NOT NULL")))
+
+
+def without_copies(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of `documents`, columns unchanged: of each component of `found` (doc_id, component_id)
+    the document with the smallest id stays.
 
     An id goes if none of its rows is the one that names its component. Where rows share an id that
     stays, whole copies of a row go too. Rows with a null id stay, as they name no document.
     """
-    found = near_duplicates(documents.where("doc_id IS NOT NULL"))
     ids = found.groupBy("doc_id").agg(
         F.count("*").alias("n"), F.bool_or(F.expr("doc_id = component_id")).alias("stays")
     )
