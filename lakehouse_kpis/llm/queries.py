@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakehouse_kpis.llm import (
-    bpe, html_text, language, mixing, pii, quality, shards, simhash, topk, vectors,
+    bpe, filter_audit, html_text, language, line_rules, manifest, mixing, pii, quality, shards,
+    simhash, topk, vectors,
 )
 from lakehouse_kpis.llm.tables import table
+from lakehouse_kpis.llm.twins import TWINS
 
 # Wanted shares of the domains in the mixture's tokens.
 TARGET_WEIGHTS = {"clean": 0.97, "toxic": 0.02, "low": 0.01}
@@ -65,29 +67,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.verdicts(table(spark, sf_dir, "documents"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.proved(manifest.manifest(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_main_text, op2_personal_data, op3_bpe_round_trip, op4_vectors, op5_language,
-        op6_mixture, op7_quality, op8_shards, op9_top_k, op10_simhash,
+        op6_mixture, op7_quality, op8_shards, op9_top_k, op10_simhash, op11_filter_audit,
+        op12_line_rules, op13_manifest,
     )
 }
-ORACLE: dict[str, str] = {
-    "op9_top_k": """
-WITH v AS (
-  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS w
-  FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
-), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
-    CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id
-  WHERE q.vec_id % 50 = 0
-)
-SELECT query_id,
-  CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
-  vec_id, score
-FROM scored
-QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
-""",
-}
+ORACLE: dict[str, str] = dict(TWINS)
