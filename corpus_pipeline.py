@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakehouse_kpis.llm import bpe, mixing, pii, quality, shingles
+from lakehouse_kpis.llm import bpe, mixing, pii, quality, simhash
 from lakehouse_kpis.llm.queries import TARGET_WEIGHTS, tokenizer_file
 from lakehouse_kpis.llm.tables import table, text_batches
 from lakehouse_kpis.session import shared_dir
@@ -24,9 +24,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id; see `shingles`."""
+    """One document of each group of near duplicates, the one with the smallest id: fingerprints of
+    three-word shingles, linked at two or fewer differing bits; see `simhash`."""
     text_batches(spark)
-    return shingles.one_of_each(docs)
+    return simhash.one_of_each(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
