@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakehouse_kpis.session import shared_dir
@@ -12,6 +12,28 @@ from lakehouse_kpis.session import shared_dir
 POSITION_BITS = 33  # of monotonically_increasing_id; the bits above name the partition
 
 
+GROUP_BITS = 12  # of the rows whose counts are added up in one window
+
+
+def running(sizes: DataFrame, place: str, n: str) -> DataFrame:
+    """The rows with `before`, the sum of `n` over the rows with a smaller `place` (0, 1, ..., unique).
+
+    Added up within groups of 4096 places, and over the groups in an array of their sums.
+    """
+    group = F.shiftright(place, GROUP_BITS)
+    within = F.sum(n).over(Window.partitionBy(group).orderBy(place)) - F.col(n)
+    sums = sizes.groupBy(group.alias("_group")).agg(F.sum(n).alias("_sum")).agg(
+        F.sort_array(F.collect_list(F.struct("_group", "_sum"))).alias("s")
+    ).select(F.inline(F.expr(
+        "transform(s, (x, i) -> struct(x._group AS _group, "
+        "aggregate(slice(s, 1, i), 0L, (a, y) -> a + y._sum) AS _ahead))"
+    )))
+    inner = sizes.withColumn("_within", within)
+    return inner.join(sums, group == F.col("_group")).select(
+        *sizes.columns, (F.col("_ahead") + F.col("_within")).alias("before")
+    )
+
+
 def numbered(df: DataFrame, order: list[str | Column], name: str, start: int = 1) -> DataFrame:
     """The rows with one more column `name`: start, start + 1, ... in `order`, without gaps.
 
@@ -36,12 +58,7 @@ def numbered(df: DataFrame, order: list[str | Column], name: str, start: int = 1
     part = F.shiftright("at", POSITION_BITS)
     place = F.col("at").bitwiseAND((1 << POSITION_BITS) - 1)
     sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
-    starts = sizes.agg(F.sort_array(F.collect_list(F.struct("part", "n"))).alias("s")).select(
-        F.inline(F.expr(
-            "transform(s, (x, i) -> struct(x.part AS part, "
-            "aggregate(slice(s, 1, i), 0L, (a, y) -> a + y.n) AS before))"
-        ))
-    )
+    starts = running(sizes, "part", "n").select("part", "before")
     return placed.join(starts, part == F.col("part")).select(
         "row.*", (F.col("before") + place + start).alias(name)
     )
