@@ -1,10 +1,13 @@
 """How five filters act alone, together and in every order, from a sparse document-term matrix.
 
 Documents are cut into blocks. Each block is encoded with a dictionary of its own, the dictionaries are
-merged into one global dictionary, and the blocks are written again as shards of a matrix of compressed
-sparse rows over global word numbers: documents are rows, words columns. A row's sum is the number of
-words of its document and its stored entries are the distinct ones, which decides filters A and B. Only
-dictionaries are shuffled by word, so a word of every document is one row per block.
+merged into one global dictionary, and the blocks become shards of a matrix of compressed sparse rows
+over global word numbers: documents are rows, words columns. A row's sum is the number of words of its
+document and its stored entries are the distinct ones, which decides filters A and B.
+
+Words leave a block once, however often it has them, in packed runs: a block's dictionary is in the
+order of a hash, and each bucket of hashes is numbered in one place. A word of every document is one
+entry per block there, and buckets are as many as the dictionaries' entries ask for.
 
 Filters that a document fails are bits of a mask. All counts of the audit are sums over masks, so the
 corpus is aggregated once, to at most 32 masks per part, and the 120 orders are worked out from these.
@@ -13,6 +16,7 @@ corpus is aggregated once, to at most 32 masks per part, and the 120 orders are
 from __future__ import annotations
 
 import itertools
+import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -23,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from lakehouse_kpis.llm.tables import stored, text_batches
+from lakehouse_kpis.operators.numbering import running
 
 FILTERS = "ABCDE"
 LEAST_WORDS = 100    # A
@@ -30,6 +35,8 @@ DISTINCT_SHARE = 80  # B, per cent of the words
 CAPITAL_SHARE = 10   # C, per cent of the code points
 MARKS = "[#$%&*|]"   # D
 BLOCK_WORDS = 1 << 21  # words of a block, or one document
+BUCKET_WORDS = 1 << 19  # entries of the blocks' dictionaries that are numbered in one place, on average
+HASH_BITS = 32
 
 SPARSE = "starts array<int>, columns array<bigint>, counts array<int>"
 
@@ -46,30 +53,47 @@ def batch_rows(spark: SparkSession, rows: int):
         spark.conf.set(key, before)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    return pa.compress(values.astype(np.int32).tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(packed, 4 * size, "zstd", asbytes=True), np.int32)
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.int64, len(words))
+
+
 def _blocks(names: list[str], kinds: list[pa.DataType]):
-    """Documents as blocks of compressed sparse rows over the words of the block's own dictionary.
+    """Documents as blocks of compressed sparse rows over the words of the block's own dictionary,
+    which is in the order of the words' hashes.
 
     The columns `names` of the block's documents go along as arrays.
     """
+    def block(known, kept, starts, columns, counts) -> pa.RecordBatch:
+        words = list(known)
+        order = np.argsort(_hashes(words), kind="stable")
+        place = np.empty(len(words), np.int64)
+        place[order] = np.arange(len(words))
+        found = {n: pa.array([k], pa.list_(t)) for n, k, t in zip(names, kept, kinds)}
+        return pa.RecordBatch.from_pydict(found | {
+            "words": pa.array([[words[i] for i in order]], pa.list_(pa.binary())),
+            "starts": pa.array([starts], pa.list_(pa.int32())),
+            "columns": pa.array([_packed(place[np.concatenate(columns)])], pa.binary()),
+            "counts": pa.array([_packed(np.concatenate(counts))], pa.binary()),
+        })
+
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         kept: list[list] = [[] for _ in names]
         starts, columns, counts, total = [0], [], [], 0
-
-        def block() -> pa.RecordBatch:
-            found = {n: pa.array([k], pa.list_(t)) for n, k, t in zip(names, kept, kinds)}
-            return pa.RecordBatch.from_pydict(found | {
-                "words": pa.array([list(known)], pa.list_(pa.binary())),
-                "starts": _one(np.array(starts, np.int32)),
-                "columns": _one(np.concatenate(columns)), "counts": _one(np.concatenate(counts)),
-            })
-
         for batch in batches:
             held = [batch.column(n).to_pylist() for n in names]
             for text, *row in zip(batch.column("text"), *held):
                 words = text.as_py().split()  # bytes are split at ASCII white space only
                 if columns and total + len(words) > BLOCK_WORDS:
-                    yield block()
+                    yield block(known, kept, starts, columns, counts)
                     known, kept = {}, [[] for _ in names]
                     starts, columns, counts, total = [0], [], [], 0
                 local = np.fromiter(
@@ -80,10 +104,10 @@ def _blocks(names: list[str], kinds: list[pa.DataType]):
                     values.append(value)
                 starts.append(starts[-1] + len(at))
                 columns.append(at)
-                counts.append(n.astype(np.int32))
+                counts.append(n)
                 total += len(words)
         if columns:
-            yield block()
+            yield block(known, kept, starts, columns, counts)
 
     return blocks
 
@@ -93,24 +117,61 @@ def _one(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
 
 
+def _cut(bits: int):
+    """Dictionaries of blocks cut into buckets, by the top bits of the hashes that they are sorted by."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, held in zip(batch.column("block").to_pylist(), batch.column("words")):
+                words = held.values
+                of = _hashes(words.to_pylist()) >> (HASH_BITS - bits)
+                first = np.flatnonzero(np.diff(of, prepend=-1))
+                until = np.append(first[1:], len(of))
+                yield pa.RecordBatch.from_pydict({
+                    "bucket": pa.array(of[first], pa.int64()),
+                    "block": pa.array([block] * len(first), pa.int64()),
+                    "words": pa.ListArray.from_arrays(
+                        pa.array(np.append(first[:1], until), pa.int32()), words
+                    ),
+                })
+
+    return cut
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers of the words of each bucket, in the order in which they come; the rows are sorted by
+    bucket. `known` is how many words the bucket has up to here."""
+    bucket, known = None, {}
+    for batch in batches:
+        after, numbers = [], []
+        for of, words in zip(batch.column("bucket").to_pylist(), batch.column("words")):
+            if of != bucket:
+                bucket, known = of, {}
+            numbers.append([known.setdefault(w, len(known)) for w in words.values.to_pylist()])
+            after.append(len(known))
+        yield pa.RecordBatch.from_pydict({
+            "bucket": batch.column("bucket"), "block": batch.column("block"),
+            "known": pa.array(after, pa.int64()), "numbers": pa.array(numbers, pa.list_(pa.int32())),
+        })
+
+
 def dictionary(blocks: DataFrame) -> DataFrame:
-    """word and column: every word of the blocks once, numbered from 0 without gaps.
+    """block and numbers, the global numbers of the words of its dictionary, in their order there.
 
-    Each task numbers its own words, and starts where the tasks before it end. Only the counts of the
-    tasks are summed in order.
+    Words are numbered from 0 without gaps: a bucket starts where those before it end.
     """
-    words = blocks.select(F.explode("words").alias("word")).distinct()
-    placed = stored(words.withColumn("at", F.monotonically_increasing_id()), "dictionary")
-    task = F.shiftright("at", 33)
-    sizes = placed.groupBy(task.alias("task")).agg((F.max(F.col("at").bitwiseAND((1 << 33) - 1)) + 1).alias("n"))
-    before = sizes.agg(F.sort_array(F.collect_list(F.struct("task", "n"))).alias("s")).select(
-        F.explode(F.expr(
-            "transform(s, (x, i) -> struct(x.task AS task, "
-            "aggregate(slice(s, 1, i), 0L, (a, y) -> a + y.n) AS before))"
-        )).alias("t")
-    ).select("t.task", "t.before")
-    return placed.join(before, task == F.col("task")).select(
-        "word", (F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("column")
+    entries = blocks.agg(F.sum(F.size("words"))).first()[0] or 0
+    bits = max(0, (entries // BUCKET_WORDS).bit_length())
+    runs = blocks.select("block", "words").mapInArrow(
+        _cut(bits), "bucket bigint, block bigint, words array<binary>"
+    )
+    with batch_rows(blocks.sparkSession, 8):  # rows of some MB
+        numbered = stored(runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+            _counted, "bucket bigint, block bigint, known bigint, numbers array<int>"
+        ), "numbers")
+    sizes = numbered.groupBy(F.col("bucket").alias("of")).agg(F.max("known").alias("n"))
+    starts = running(sizes, "of", "n").select("of", "before")
+    return numbered.join(starts, F.col("bucket") == F.col("of")).groupBy("block").agg(
+        F.sort_array(F.collect_list(F.struct("bucket", "before", "numbers"))).alias("runs")  # one block's
     )
 
 
@@ -119,9 +180,18 @@ def _globally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             row = {n: batch.column(n).slice(i, 1) for n in batch.schema.names}
-            numbers, local = row.pop("numbers")[0].values, row["columns"][0].values
-            row["columns"] = _one(numbers.to_numpy()[local.to_numpy()])
-            yield pa.RecordBatch.from_pydict(row)
+            runs = row.pop("runs")[0]
+            numbers = np.zeros(0, np.int64)
+            if runs.is_valid and len(runs.values):
+                before, held = runs.values.field("before").to_pylist(), runs.values.field("numbers")
+                numbers = np.concatenate([
+                    b + held[j].values.to_numpy().astype(np.int64) for j, b in enumerate(before)
+                ])
+            size = row["starts"][0].values[-1].as_py()
+            columns, counts = (_unpacked(row[n][0].as_py(), size) for n in ("columns", "counts"))
+            yield pa.RecordBatch.from_pydict(
+                row | {"columns": _one(numbers[columns]), "counts": _one(counts)}
+            )
 
 
 def matrix(documents: DataFrame) -> DataFrame:
@@ -129,7 +199,8 @@ def matrix(documents: DataFrame) -> DataFrame:
 
     A row of the result is a shard: arrays of the other columns, one value for each document; where
     each document's row starts in `columns` and `counts` (one start more than documents); and the word
-    numbers and counts of the rows, one after the other. Words are numbered over all shards.
+    numbers and counts of the rows, one after the other. Words are numbered over all shards. The rows
+    are large: take them in batches of one, see `batch_rows`.
     """
     text_batches(documents.sparkSession)
     kept = [f for f in documents.schema if f.name != "text"]
@@ -137,18 +208,12 @@ def matrix(documents: DataFrame) -> DataFrame:
     held = "".join(f"{f.name} array<{f.dataType.simpleString()}>, " for f in kept)
     kinds = [to_arrow_type(f.dataType) for f in kept]
     blocks = stored(documents.select("text", *names).mapInArrow(
-        _blocks(names, kinds), f"{held}words array<binary>, {SPARSE}"
+        _blocks(names, kinds),
+        f"{held}words array<binary>, starts array<int>, columns binary, counts binary",
     ).withColumn("block", F.monotonically_increasing_id()), "blocks")
-    numbered = stored(dictionary(blocks), "numbers")
-    local = blocks.select("block", F.posexplode("words").alias("local", "word"))
-    numbers = local.join(numbered, "word").groupBy("block").agg(
-        F.sort_array(F.collect_list(F.struct("local", "column"))).alias("n")  # one block's dictionary
-    ).select("block", F.col("n.column").alias("numbers"))
-    shards = blocks.drop("words").join(numbers, "block", "left").drop("block").withColumn(
-        "numbers", F.coalesce("numbers", F.array().cast("array<bigint>"))
-    )
-    with batch_rows(documents.sparkSession, 1):
-        return stored(shards.mapInArrow(_globally, f"{held}{SPARSE}"), "matrix")
+    # a block whose documents have no words has no entry in the dictionary
+    shards = blocks.drop("words").join(dictionary(blocks), "block", "left").drop("block")
+    return shards.mapInArrow(_globally, f"{held}{SPARSE}")
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
