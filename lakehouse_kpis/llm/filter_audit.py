@@ -22,9 +22,9 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from lakehouse_kpis.llm.tables import stored, text_batches
 from lakehouse_kpis.operators.numbering import running
@@ -54,103 +54,106 @@ def batch_rows(spark: SparkSession, rows: int):
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return pa.compress(values.astype(np.int32).tobytes(), "zstd", asbytes=True)
+    """Integers as their steps, which are small where they ascend."""
+    return pa.compress(np.diff(values, prepend=0).astype("<i8").tobytes(), "zstd", asbytes=True)
 
 
 def _unpacked(packed: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(packed, 4 * size, "zstd", asbytes=True), np.int32)
+    return np.cumsum(np.frombuffer(pa.decompress(packed, 8 * size, "zstd", asbytes=True), "<i8"))
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(zlib.crc32, words), np.int64, len(words))
+def _one(values: np.ndarray | pa.Array) -> pa.ListArray:
+    """An array of one list."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
 
 
-def _blocks(names: list[str], kinds: list[pa.DataType]):
+def _split(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """The words of texts, split at ASCII white space, and how many each text has."""
+    lists = pc.ascii_split_whitespace(texts)
+    held = lists.flatten()
+    kept = pc.not_equal(held, "")  # what is before the first white space and after the last one
+    until = np.concatenate(([0], np.cumsum(kept.to_numpy(zero_copy_only=False))))
+    return held.filter(kept), np.diff(until[lists.offsets.to_numpy() - lists.offsets[0].as_py()])
+
+
+def _block(parts: list[pa.StringArray], sizes: list[np.ndarray], kept: dict[str, list]) -> pa.RecordBatch:
+    coded = pa.concat_arrays(parts).dictionary_encode()
+    words = coded.dictionary.cast(pa.binary())
+    hashes = np.fromiter(map(zlib.crc32, words.to_pylist()), np.int64, len(words))
+    order = np.argsort(hashes, kind="stable")
+    place = np.empty(len(words), np.int64)
+    place[order] = np.arange(len(words))
+    local, until = place[coded.indices.to_numpy()], np.cumsum(np.concatenate(sizes))
+    rows = [np.unique(row, return_counts=True) for row in np.split(local, until[:-1])]
+    columns = np.concatenate([at for at, _ in rows])
+    return pa.RecordBatch.from_pydict({n: _one(pa.concat_arrays(k)) for n, k in kept.items()} | {
+        "words": _one(words.take(pa.array(order))),
+        "hashes": pa.array([_packed(hashes[order])], pa.binary()),
+        "starts": _one(np.cumsum([0] + [len(at) for at, _ in rows]).astype(np.int32)),
+        "columns": pa.array([_packed(columns)], pa.binary()),
+        "counts": pa.array([_packed(np.concatenate([n for _, n in rows]))], pa.binary()),
+    })
+
+
+def _blocks(names: list[str]):
     """Documents as blocks of compressed sparse rows over the words of the block's own dictionary,
     which is in the order of the words' hashes.
 
     The columns `names` of the block's documents go along as arrays.
     """
-    def block(known, kept, starts, columns, counts) -> pa.RecordBatch:
-        words = list(known)
-        order = np.argsort(_hashes(words), kind="stable")
-        place = np.empty(len(words), np.int64)
-        place[order] = np.arange(len(words))
-        found = {n: pa.array([k], pa.list_(t)) for n, k, t in zip(names, kept, kinds)}
-        return pa.RecordBatch.from_pydict(found | {
-            "words": pa.array([[words[i] for i in order]], pa.list_(pa.binary())),
-            "starts": pa.array([starts], pa.list_(pa.int32())),
-            "columns": pa.array([_packed(place[np.concatenate(columns)])], pa.binary()),
-            "counts": pa.array([_packed(np.concatenate(counts))], pa.binary()),
-        })
-
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        kept: list[list] = [[] for _ in names]
-        starts, columns, counts, total = [0], [], [], 0
+        parts, sizes, kept = [], [], {n: [] for n in names}
         for batch in batches:
-            held = [batch.column(n).to_pylist() for n in names]
-            for text, *row in zip(batch.column("text"), *held):
-                words = text.as_py().split()  # bytes are split at ASCII white space only
-                if columns and total + len(words) > BLOCK_WORDS:
-                    yield block(known, kept, starts, columns, counts)
-                    known, kept = {}, [[] for _ in names]
-                    starts, columns, counts, total = [0], [], [], 0
-                local = np.fromiter(
-                    (known.setdefault(w, len(known)) for w in words), np.int64, len(words)
-                )
-                at, n = np.unique(local, return_counts=True)
-                for values, value in zip(kept, row):
-                    values.append(value)
-                starts.append(starts[-1] + len(at))
-                columns.append(at)
-                counts.append(n)
-                total += len(words)
-        if columns:
-            yield block(known, kept, starts, columns, counts)
+            if batch.num_rows == 0:
+                continue
+            words, n = _split(batch.column("text"))
+            parts.append(words)
+            sizes.append(n)
+            for name in names:
+                kept[name].append(batch.column(name))
+            if sum(map(len, parts)) >= BLOCK_WORDS:
+                yield _block(parts, sizes, kept)
+                parts, sizes, kept = [], [], {n: [] for n in names}
+        if sizes:
+            yield _block(parts, sizes, kept)
 
     return blocks
 
 
-def _one(values: np.ndarray) -> pa.ListArray:
-    """An array of one list."""
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
-
-
 def _cut(bits: int):
     """Dictionaries of blocks cut into buckets, by the top bits of the hashes that they are sorted by."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, held in zip(batch.column("block").to_pylist(), batch.column("words")):
+            for i, held in enumerate(batch.column("words")):
                 words = held.values
-                of = _hashes(words.to_pylist()) >> (HASH_BITS - bits)
+                of = _unpacked(batch.column("hashes")[i].as_py(), len(words)) >> (HASH_BITS - bits)
                 first = np.flatnonzero(np.diff(of, prepend=-1))
-                until = np.append(first[1:], len(of))
+                until = np.append(first, len(of))
                 yield pa.RecordBatch.from_pydict({
                     "bucket": pa.array(of[first], pa.int64()),
-                    "block": pa.array([block] * len(first), pa.int64()),
-                    "words": pa.ListArray.from_arrays(
-                        pa.array(np.append(first[:1], until), pa.int32()), words
-                    ),
+                    "block": pa.repeat(batch.column("block")[i], len(first)),
+                    "words": pa.ListArray.from_arrays(pa.array(until, pa.int32()), words),
                 })
 
     return cut
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers of the words of each bucket, in the order in which they come; the rows are sorted by
-    bucket. `known` is how many words the bucket has up to here."""
-    bucket, known = None, {}
-    for batch in batches:
-        after, numbers = [], []
-        for of, words in zip(batch.column("bucket").to_pylist(), batch.column("words")):
-            if of != bucket:
-                bucket, known = of, {}
-            numbers.append([known.setdefault(w, len(known)) for w in words.values.to_pylist()])
-            after.append(len(known))
+    """Numbers of the words of each bucket; the rows are sorted by bucket. `known` is how many words
+    the bucket has."""
+    rows = (
+        (bucket, block, words.values) for batch in batches
+        for bucket, block, words in zip(*[batch.column(n) for n in ("bucket", "block", "words")])
+    )
+    for bucket, held in itertools.groupby(rows, key=lambda r: r[0].as_py()):
+        _, blocks, words = zip(*held)
+        coded = pa.concat_arrays(words).dictionary_encode()
+        until = np.cumsum([0] + [len(w) for w in words])
         yield pa.RecordBatch.from_pydict({
-            "bucket": batch.column("bucket"), "block": batch.column("block"),
-            "known": pa.array(after, pa.int64()), "numbers": pa.array(numbers, pa.list_(pa.int32())),
+            "bucket": pa.array([bucket] * len(blocks), pa.int64()),
+            "block": pa.array([b.as_py() for b in blocks], pa.int64()),
+            "known": pa.array([len(coded.dictionary)] * len(blocks), pa.int64()),
+            "numbers": pa.ListArray.from_arrays(pa.array(until, pa.int32()), coded.indices),
         })
 
 
@@ -161,7 +164,7 @@ def dictionary(blocks: DataFrame) -> DataFrame:
     """
     entries = blocks.agg(F.sum(F.size("words"))).first()[0] or 0
     bits = max(0, (entries // BUCKET_WORDS).bit_length())
-    runs = blocks.select("block", "words").mapInArrow(
+    runs = blocks.select("block", "words", "hashes").mapInArrow(
         _cut(bits), "bucket bigint, block bigint, words array<binary>"
     )
     with batch_rows(blocks.sparkSession, 8):  # rows of some MB
@@ -190,12 +193,12 @@ def _globally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = row["starts"][0].values[-1].as_py()
             columns, counts = (_unpacked(row[n][0].as_py(), size) for n in ("columns", "counts"))
             yield pa.RecordBatch.from_pydict(
-                row | {"columns": _one(numbers[columns]), "counts": _one(counts)}
+                row | {"columns": _one(numbers[columns]), "counts": _one(counts.astype(np.int32))}
             )
 
 
 def matrix(documents: DataFrame) -> DataFrame:
-    """Shards of the document-term matrix of `documents`: text (binary, not null) and other columns.
+    """Shards of the document-term matrix of `documents`: text (not null) and other columns.
 
     A row of the result is a shard: arrays of the other columns, one value for each document; where
     each document's row starts in `columns` and `counts` (one start more than documents); and the word
@@ -206,13 +209,13 @@ def matrix(documents: DataFrame) -> DataFrame:
     kept = [f for f in documents.schema if f.name != "text"]
     names = [f.name for f in kept]
     held = "".join(f"{f.name} array<{f.dataType.simpleString()}>, " for f in kept)
-    kinds = [to_arrow_type(f.dataType) for f in kept]
     blocks = stored(documents.select("text", *names).mapInArrow(
-        _blocks(names, kinds),
-        f"{held}words array<binary>, starts array<int>, columns binary, counts binary",
+        _blocks(names),
+        f"{held}words array<binary>, hashes binary, starts array<int>, columns binary, "
+        "counts binary",
     ).withColumn("block", F.monotonically_increasing_id()), "blocks")
     # a block whose documents have no words has no entry in the dictionary
-    shards = blocks.drop("words").join(dictionary(blocks), "block", "left").drop("block")
+    shards = blocks.drop("words", "hashes").join(dictionary(blocks), "block", "left").drop("block")
     return shards.mapInArrow(_globally, f"{held}{SPARSE}")
 
 
@@ -253,7 +256,7 @@ def failures(documents: DataFrame) -> DataFrame:
         "doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"),
         F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"),
         (F.length(F.regexp_replace(text, "[^A-Z]+", "")) * 100 > F.length(text) * CAPITAL_SHARE).alias("c"),
-        text.rlike(MARKS).alias("d"), text.cast("binary").alias("text"),
+        text.rlike(MARKS).alias("d"), text.alias("text"),
     )))
     # one row per text, joined by its first id as well: copies of a text go to as many tasks
     first = rows.groupBy(F.col("digest").alias("same")).agg(F.min("doc_id").alias("first"))
