@@ -12,16 +12,18 @@ from pyspark.sql import functions as F
 
 from lakehouse_kpis.functions.dates import month_of, month_start
 from lakehouse_kpis.functions.money import published
+from lakehouse_kpis.catalog import Catalog
 from lakehouse_kpis.governance import persona
 from lakehouse_kpis.governance.policy import (
     GROUP_POLICY, PERSONA_POLICY, Identity, persona_matrix, secure, user_privileges,
 )
+from lakehouse_kpis.governance.views import Governance
 from lakehouse_kpis.operators import dims, facts, gold
 from lakehouse_kpis.operators.matview import MaterializedView, in_months
 from lakehouse_kpis.plans import dashboards, questions
 from lakehouse_kpis.plans.lakehouse import Lakehouse
 from lakehouse_kpis.plans.sales_metrics import sales_metrics
-from lakehouse_kpis.session import shared_dir, tune
+from lakehouse_kpis.session import shared_dir, tune, written
 from lakehouse_kpis.sources.fixed import PERSONAS
 from lakehouse_kpis.sources.retail import RetailTables, legacy_product_key
 from oracle.sql import ORACLE
@@ -346,6 +348,11 @@ def _dashboards() -> dict:
             )
             for f in spec.filters
         }
+    for page in dashboards.PAGES:
+        found[f"page_{page}"] = lambda lake, p=page: dashboards.page_values(lake, p)
+        found[f"facets_{page}"] = lambda lake, p=page: dashboards.page_options(
+            lake, p, dashboards.PAGES[p].example
+        )
     return found | {
         f"flt_{kind}": lambda lake, p=page, n=name: dashboards.tile(
             lake, p, n, dashboards.PAGES[p].example
@@ -361,7 +368,34 @@ def _dashboards() -> dict:
 
 
 def _written() -> dict:
-    return {"matview_sales_summary": _refreshed_summary}
+    return {
+        "matview_sales_summary": _refreshed_summary,
+        "lake_reopened_summary": lambda lake: _opened(lake)[1].table("mv_sales_summary"),
+        "lake_published_customers": _published_customers,
+    }
+
+
+@functools.lru_cache(maxsize=4)
+def _opened(lake: Lakehouse) -> tuple[Catalog, Lakehouse]:
+    """The lakehouse built into a folder of its own and opened again from there."""
+    name = uuid.uuid4().hex
+    catalog = Catalog(lake.spark, f"lake_{name}_", f"{shared_dir(lake.spark)}/builds-{name}")
+    lake.build(catalog)
+    return catalog, Lakehouse.open(catalog, metric_view=lake.metric_view)
+
+
+def _published_customers(lake: Lakehouse) -> DataFrame:
+    """The published customers as whoever runs the query sees them, under two personas in turn."""
+    catalog, _ = _opened(lake)
+    governance, seen = Governance(catalog), []
+    me = lake.spark.sql("SELECT current_user()").first()[0]
+    for persona in ("HR", "REGIONAL_MGR_US_EAST"):
+        governance.set_persona(me, persona, dt.datetime.now())
+        shown = lake.spark.table(f"{catalog.prefix}silver.dim_customer").select(
+            F.lit(persona).alias("persona"), "customer_key", "email", "phone", "territory"
+        )
+        seen.append(written(shown, "published"))  # the view asks for the persona when it is read
+    return seen[0].unionByName(seen[1])
 
 
 def _refreshed_summary(lake: Lakehouse) -> DataFrame:

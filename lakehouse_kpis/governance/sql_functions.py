@@ -7,14 +7,15 @@ from pyspark.sql import SparkSession
 from lakehouse_kpis.functions.text import quoted
 from lakehouse_kpis.governance.policy import ALL_ROWS, Identity, Policy
 
-# argument type and what a reader without the privilege gets
-_HIDDEN = {
-    "email": ("STRING", "coalesce('***@' || get(split(v, '@'), 1), if(v IS NULL, NULL, '***'))"),
-    "phone": ("STRING", "'***-***-' || right(v, 4)"),
-    "address": ("STRING", "if(v IS NULL, NULL, '[REDACTED]')"),
-    "ssn": ("STRING", "if(v IS NULL, NULL, 'XXX-XX-XXXX')"),
-    "salary": ("DOUBLE", "CAST(NULL AS DOUBLE)"),
+# what a reader without the privilege gets of the value {v}
+HIDDEN = {
+    "email": "coalesce('***@' || get(split({v}, '@'), 1), if({v} IS NULL, NULL, '***'))",
+    "phone": "'***-***-' || right({v}, 4)",
+    "address": "if({v} IS NULL, NULL, '[REDACTED]')",
+    "ssn": "if({v} IS NULL, NULL, 'XXX-XX-XXXX')",
+    "salary": "if(false, {v}, NULL)",
 }
+_TYPES = {"salary": "DOUBLE"}
 
 
 def register(spark: SparkSession, policy: Policy, who: Identity) -> None:
@@ -23,8 +24,9 @@ def register(spark: SparkSession, policy: Policy, who: Identity) -> None:
     Each body is already decided, so a call is inlined into the plan as a plain expression.
     """
     held = policy.privileges(who)
-    for mask, (kind, hidden) in _HIDDEN.items():
-        body = "v" if f"see:{mask}" in held else hidden
+    for mask, hidden in HIDDEN.items():
+        kind = _TYPES.get(mask, "STRING")
+        body = "v" if f"see:{mask}" in held else hidden.format(v="v")
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION mask_{mask}(v {kind}) "
                   f"RETURNS {kind} RETURN {body}")
     own = sorted(p.removeprefix("rows:") for p in held if p.startswith("rows:"))

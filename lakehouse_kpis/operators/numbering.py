@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakehouse_kpis.session import shared_dir
+from lakehouse_kpis.session import written
 
 POSITION_BITS = 33  # of monotonically_increasing_id; the bits above name the partition
 
@@ -52,9 +50,7 @@ def numbered(df: DataFrame, order: list[str | Column], name: str, start: int = 1
     placed = dealt.repartitionByRange("key").sortWithinPartitions("key").select(
         "row", F.monotonically_increasing_id().alias("at")
     )
-    path = f"{shared_dir(df.sparkSession)}/numbered-{uuid.uuid4().hex}"
-    placed.write.parquet(path)
-    placed = df.sparkSession.read.schema(placed.schema).parquet(path)
+    placed = written(placed, "numbered")
     part = F.shiftright("at", POSITION_BITS)
     place = F.col("at").bitwiseAND((1 << POSITION_BITS) - 1)
     sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))

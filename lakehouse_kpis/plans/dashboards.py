@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakehouse_kpis.functions.money import published
 from lakehouse_kpis.operators.tiles import (
-    Filter, Selection, Tile, aggregate, average, distinct, facet, filtered, quotient, rows,
-    rows_where, total, total_where,
+    Filter, Selection, Tile, aggregate, average, distinct, facet, facets, filtered, quotient, rows,
+    rows_where, together, total, total_where,
 )
+from lakehouse_kpis.session import written
 
 NET, MARGIN = "net_invoice_amount", "estimated_gross_margin_usd"
 
@@ -220,3 +223,49 @@ def options(lake, page: str, column: str, selection: Selection | None = None) ->
     control = next(f for f in filters if f.column == column)
     frames = {name: lake.table(name) for name in control.datasets}
     return facet(control, filters, frames, selection or {})
+
+
+def page(lake, name: str, selection: Selection | None = None) -> dict[str, DataFrame]:
+    """All tiles of a page under its selections, by name, from one pass over each dataset.
+
+    The groups of a dataset's tiles are written to the shared folder, as every tile reads them; a
+    dataset with a tile that lists its rows is written itself, and all its tiles read that.
+    """
+    spec, found = PAGES[name], {}
+    for dataset in sorted({t.dataset for t in spec.tiles.values()}):
+        tiles = {n: t for n, t in spec.tiles.items() if t.dataset == dataset}
+        frame = filtered(spec.filters, dataset, lake.table(dataset), selection or {})
+        lists = {n: t for n, t in tiles.items() if not t.measures}
+        if lists:
+            frame = written(frame, f"page-{name}-{dataset}")
+        found |= {n: published(aggregate(t, frame)) for n, t in lists.items()}
+        measured = {n: t for n, t in tiles.items() if t.measures}
+        groups, take = together(measured, frame)
+        groups = written(groups, f"page-{name}-{dataset}")
+        found |= {n: published(take(groups, n)) for n in measured}
+    return {n: found[n] for n in spec.tiles}
+
+
+def page_values(lake, name: str, selection: Selection | None = None) -> DataFrame:
+    """A page's measured tiles in one frame: tile, place (its dimensions), measure, value."""
+    parts = []
+    for n, frame in page(lake, name, selection).items():
+        spec = PAGES[name].tiles[n]
+        dims = [F.coalesce(F.col(d).cast("string"), F.lit("null")) for d in spec.dims]
+        for measure in spec.measures:
+            parts.append(frame.select(
+                F.lit(n).alias("tile"), F.concat_ws("|", *dims).alias("place"),
+                F.lit(measure).alias("measure"), F.col(measure).cast("double").alias("value"),
+            ))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def page_options(lake, name: str, selection: Selection | None = None) -> DataFrame:
+    """The options of all filter controls of a page, from one pass over each dataset that they reach."""
+    filters = PAGES[name].filters
+    parts = [
+        facets(filters, d, lake.table(d), selection or {}).select(
+            "control", F.lit(d).alias("dataset"), "option", "associativity"
+        ) for d in sorted({d for f in filters for d in f.datasets})
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)

@@ -9,7 +9,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from lakehouse_kpis.catalog import Catalog, month_partition
+from lakehouse_kpis.functions.money import published
 from lakehouse_kpis.governance.policy import PERSONA_POLICY, PROTECTED, Identity, Policy, secure
+from lakehouse_kpis.governance.views import Governance
 from lakehouse_kpis.operators import dims, facts, gold
 from lakehouse_kpis.operators.metrics import Metrics, MetricView
 from lakehouse_kpis.plans import datasets
@@ -36,6 +38,26 @@ FACT_DATES = {
 }
 
 
+# what a silver table is made from
+INPUTS = {
+    "dim_customer": ("customers",), "dim_product": ("products",), "dim_employee": ("employees",),
+    "fact_invoice_lines": ("invoice_lines", "markups", "legacy_headers"),
+    "fact_gl_transactions": ("gl",), "fact_web_engagement": ("sessions",), "fact_crm_deals": ("deals",),
+}
+# marts that are written; directories are views over the published dimensions
+STORED_MARTS = ("mv_sales_summary", "vw_customer_360", "vw_finance_kpis", "vw_ar_aging")
+DIRECTORIES = {
+    "vw_dim_customer": ("dim_customer", gold.CUSTOMER_COLUMNS),
+    "vw_dim_employee": ("dim_employee", gold.EMPLOYEE_COLUMNS),
+}
+# published tables that show a reader what the rules of a protected table leave; ageing is by customer
+# key alone and comes from no protected table
+SECURED = {name: name for name in PROTECTED} | {
+    "mv_sales_summary": "dim_customer", "vw_customer_360": "dim_customer",
+    "vw_finance_kpis": "fact_gl_transactions",
+}
+
+
 class Lakehouse:
     """All layers over one set of landed tables, each frame made when first asked for.
 
@@ -101,48 +123,106 @@ class Lakehouse:
         return secure(raw, name, self.policy.privileges(self.identity))
 
     def build(
-        self, catalog: Catalog, invoice_buckets: int | None = None, at_once: int = 4
+        self, catalog: Catalog, invoice_buckets: int | None = None, at_once: int = 4,
+        keep: int = 1,
     ) -> Lakehouse:
-        """Write bronze and silver, and read on from the written tables.
+        """Write bronze, silver and gold as a new build, publish it, and read on from it.
+
+        The tables of the build before stay as they are until the new ones are whole; then all names
+        are switched, and builds but the `keep` before are dropped. The landed tables may be those of
+        an earlier build (`open(catalog).build(catalog)`). The published names of protected tables
+        and marts show every reader what their persona and groups open (`governance.views`).
 
         invoice_buckets: bucket invoice lines, charges and headers by invoice, so that the
         charges are joined to the lines without a shuffle of the landed tables. A bucket is
         one task, so leave it out when one invoice may hold a large part of the lines.
-        at_once: tables of a layer written side by side, so that small ones fill the gaps
-        that a large one leaves.
+        at_once: tables written side by side; a silver table starts once its own inputs are there.
         """
-        catalog.ensure_layers()
+        build = catalog.begin()
+        governance = Governance(catalog)
+        governance.ensure(self.policy)
         by_invoice = ("invoice_lines", "markups", "legacy_headers")
+        source = getattr(self.landed, "path", None)
 
         def land(name: str) -> None:
             bucketed = invoice_buckets and name in by_invoice
-            catalog.publish(
-                self.bronze(name), "bronze", name, f"landed {name}", PROVENANCE[name],
+            where = {"source_path": f"{source}/{name}"} if source else {}
+            build.publish(
+                self.bronze(name), "bronze", name, f"landed {name}", PROVENANCE[name] | where,
                 bucket_by=(invoice_buckets, ["INVOICEID"]) if bucketed else None,
             )
 
         written = Lakehouse(
-            self.spark, _CatalogTables(catalog), self.as_of, self.web_as_of, None, self.policy,
+            self.spark, _CatalogTables(build), self.as_of, self.web_as_of, None, self.policy,
             self.allocation, self.legacy_product, self.metric_view,
             spread=1 if invoice_buckets else self.spread,
         )
 
         def conform(name: str) -> DataFrame:
+            for landed in INPUTS.get(name, ()):
+                landing[landed].result()
             date = FACT_DATES.get(name)
-            return catalog.publish(
+            private = {"contains_pii": "true"} if name in PROTECTED and PROTECTED[name].masks else {}
+            return build.publish(
                 written.table(name), "silver", name, f"conformed {name}",
+                {"built_from": ", ".join(INPUTS.get(name, ("rules",)))} | private,
                 partition_by=month_partition(date) if date else None,
             )
 
         with ThreadPoolExecutor(at_once) as pool:
-            list(pool.map(land, _largest_first(PROVENANCE)))
-            names = _largest_first(_SILVER)
-            stored = dict(zip(names, pool.map(conform, names)))
+            # landing tasks come first in the pool's queue, so what a silver table waits for runs
+            landing = {name: pool.submit(land, name) for name in _largest_first(PROVENANCE)}
+            conforming = {name: pool.submit(conform, name) for name in _largest_first(_SILVER)}
+            for task in landing.values():
+                task.result()
+            stored = {name: task.result() for name, task in conforming.items()}
+            built = self._over(build, stored)
+            marts = dict(zip(STORED_MARTS, pool.map(lambda name: build.publish(
+                published(built.table(name)), "gold", name, f"mart {name}"
+            ), STORED_MARTS)))
+        secured = {
+            name: governance.secured(rules, (stored | marts)[name].columns)
+            for name, rules in SECURED.items()
+        }
+        build.commit({"as_of": self.as_of.isoformat(), "web_as_of": self.web_as_of.isoformat(),
+                      "allocation": self.allocation}, secured)
+        self._publish_views(catalog)
+        catalog.drop_old(keep)
+        return built
+
+    def _over(self, build: Catalog, stored: Mapping[str, DataFrame]) -> Lakehouse:
         return Lakehouse(
-            self.spark, written.landed, self.as_of, self.web_as_of, self.identity, self.policy,
+            self.spark, _CatalogTables(build), self.as_of, self.web_as_of, self.identity, self.policy,
             self.allocation, self.legacy_product, self.metric_view.verified(stored), stored,
         )
 
+    @classmethod
+    def open(
+        cls, catalog: Catalog, policy: Policy = PERSONA_POLICY,
+        metric_view: MetricView = SALES_METRICS, legacy_product: Column | None = None,
+    ) -> Lakehouse:
+        """The last finished build, in this application or another, without its sources.
+
+        The lakehouse stays with that build: later ones do not change what it reads.
+        """
+        Governance(catalog).ensure(policy)  # what the published views ask
+        build, settings = catalog.open()
+        lake = cls(
+            catalog.spark, _CatalogTables(build), dt.date.fromisoformat(settings["as_of"]),
+            dt.date.fromisoformat(settings["web_as_of"]), None, policy, settings["allocation"],
+            legacy_product, metric_view,
+        )
+        lake._publish_views(catalog)
+        return lake._over(build, {name: build.read("silver", name) for name in build.tables("silver")})
+
+    def _publish_views(self, catalog: Catalog) -> None:
+        """Directories as views of the published dimensions, which follow the reader."""
+        for view, (table, columns) in DIRECTORIES.items():
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW {catalog.prefix}gold.{view} AS "
+                f"SELECT {', '.join(columns)} FROM {catalog.prefix}silver.{table}"
+            )
+
     def register_views(self, catalog: Catalog) -> None:
         """Every silver table and gold mart as a view, for queries written in SQL."""
         for name in [*_SILVER, *_GOLD]:

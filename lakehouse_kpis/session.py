@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the transforms are written for. AQE picks broadcast joins from
 # measured sizes and splits skewed shuffle partitions; "force" lets it split one even
@@ -46,3 +47,12 @@ def shared_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", made)
         return made
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to a new folder of the shared place and read back, so that several readers
+    share one run of its plan, and a lost executor costs none of it."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from lakehouse_kpis.sources import fixed
 from oracle.base import BUCKET, PRELUDE, big, dbl, mapped
 
@@ -706,3 +708,32 @@ add("flt_with_null", tile("ar", "aging_bucket, customer_segment", _OUT,
                           where=active("customer", "ar")))
 add("flt_open_range", tile("web", "event_name", f"{_ROWS} AS events",
                            where=active("marketing", "web")))
+
+# whole pages and all their controls, in long form
+for page, tiles in TILES.items():
+    parts = []
+    for name, sql in tiles.items():
+        if name == "customer_detail":  # lists rows, has no measure
+            continue
+        held = sql.split("GROUP BY ")
+        dims = held[1].split("ORDER BY")[0].strip() if len(held) > 1 else ""
+        place = ", ".join(f"coalesce(CAST({d.strip()} AS VARCHAR), 'null')" for d in dims.split(",")) \
+            if dims else "''"
+        measure = re.findall(r" AS (\w+)", sql.split("GROUP BY")[0])[-1]  # each tile has one
+        parts.append(
+            f"SELECT '{name}' AS tile, concat_ws('|', {place}) AS place, '{measure}' AS measure, "
+            f"CAST({measure} AS DOUBLE) AS value FROM ({sql})"
+        )
+    add(f"page_{page}", "\nUNION ALL\n".join(parts))
+for page, controls in CONTROLS.items():
+    add(f"facets_{page}", "\nUNION ALL\n".join(
+        f"SELECT '{column}' AS control, '{d}' AS dataset, CAST({column} AS VARCHAR) AS option, "
+        f"{big(f'count(*) FILTER (WHERE {active(page, d, column)})')} AS associativity "
+        f"FROM d_{d} GROUP BY {column}"
+        for column, datasets in controls.items() for d in datasets))
+
+# a stored and reopened lakehouse, and its published tables under two personas
+ORACLE["lake_reopened_summary"] = ORACLE["gold_sales_summary"]
+ORACLE["lake_published_customers"] = "\nUNION ALL\n".join(
+    f"SELECT '{p}' AS persona, customer_key, email, phone, territory FROM ({ORACLE[f'rls_{p.lower()}']})"
+    for p in ("HR", "REGIONAL_MGR_US_EAST"))

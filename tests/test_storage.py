@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from lakehouse_kpis import Lakehouse
 from lakehouse_kpis.catalog import Catalog
+from lakehouse_kpis.functions.money import published
 from lakehouse_kpis.governance.persona import SCHEMA, PersonaTable
+from lakehouse_kpis.governance.policy import Identity
+from lakehouse_kpis.governance.views import Governance
 from lakehouse_kpis.operators.matview import MaterializedView, in_months
 from lakehouse_kpis.plans import questions
 from lakehouse_kpis.session import shared_dir
@@ -43,7 +46,7 @@ def test_generated_keys_are_unique_and_stable(made, name):
 
 
 def test_build_and_read_back(spark, built):
-    catalog = Catalog(spark, "t_")
+    catalog, _ = Catalog(spark, "t_").open()
     assert catalog.read("silver", "dim_date").count() == 3652
     assert catalog.read("bronze", "dimension_values").count() == 6
     shown = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES t_bronze.customers").collect()}
@@ -153,3 +156,97 @@ def test_personas_survive_a_broken_write(spark, tmp_path):
     with pytest.raises(ValueError):
         table.change(spark.createDataFrame([("c", "NOPE", at)], SCHEMA))
     assert table.read().count() == 2
+
+
+def small(spark, made, day=dt.date(2026, 4, 30)):
+    return Lakehouse(spark, made, day)
+
+
+def test_a_second_build_replaces_the_first(spark, made):
+    catalog = Catalog(spark, "again_")
+    small(spark, made).build(catalog)
+    first = Lakehouse.open(catalog)
+    lines = first.table("fact_invoice_lines").count()
+    # from the tables of the first build, and with another date
+    rebuilt = Lakehouse.open(catalog)
+    rebuilt.as_of = dt.date(2026, 3, 31)
+    rebuilt.stored = {}
+    rebuilt._raw = {}
+    second = rebuilt.build(catalog)
+    assert catalog.current() == 2 and Lakehouse.open(catalog).as_of == dt.date(2026, 3, 31)
+    assert second.table("fact_invoice_lines").count() == lines
+    # whoever opened the first one reads on
+    assert first.as_of == dt.date(2026, 4, 30) and first.table("fact_invoice_lines").count() == lines
+    third = Lakehouse.open(catalog).build(catalog, keep=0)
+    assert third.table("fact_invoice_lines").count() == lines
+    assert not spark.catalog.databaseExists("again_silver__1")
+    assert spark.table("again_gold.mv_sales_summary").columns == first.table("mv_sales_summary").columns
+
+
+def test_a_broken_build_leaves_the_old_tables(spark, made, monkeypatch):
+    catalog = Catalog(spark, "broken_")
+    small(spark, made).build(catalog)
+    customers = spark.table("broken_silver.dim_product").count()
+
+    def fails(*_, **__):
+        raise RuntimeError("lost")
+
+    from lakehouse_kpis.operators import facts
+    monkeypatch.setattr(facts, "fact_crm_deals", fails)
+    with pytest.raises(RuntimeError):
+        small(spark, made, dt.date(2025, 1, 1)).build(catalog)
+    monkeypatch.undo()
+    assert catalog.current() == 1 and spark.table("broken_silver.dim_product").count() == customers
+    assert Lakehouse.open(catalog).as_of == dt.date(2026, 4, 30)
+    small(spark, made).build(catalog)
+    assert catalog.current() == 3  # the number of the broken one is not used again
+
+
+def test_another_application_opens_the_last_build(spark, made):
+    catalog = Catalog(spark, "other_")
+    lake = small(spark, made).build(catalog, invoice_buckets=2)
+    want = listed(questions.aging_by_territory(lake))
+    for layer in ("bronze", "silver", "gold", "governance"):  # what a new in-memory catalog does not know
+        for database in (f"other_{layer}", f"other_{layer}__1"):
+            spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    opened = Lakehouse.open(Catalog(spark.newSession(), "other_", catalog.builds))
+    assert listed(questions.aging_by_territory(opened)) == want
+    assert "bucket" in spark.sql("SHOW CREATE TABLE other_bronze__1.markups").first()[0].lower() or (
+        "CLUSTERED BY" in spark.sql("SHOW CREATE TABLE other_bronze__1.markups").first()[0])
+    with pytest.raises(FileNotFoundError):
+        Lakehouse.open(Catalog(spark, "never_"))
+
+
+def test_published_tables_follow_the_reader(spark, made):
+    catalog = Catalog(spark, "gov_")
+    lake = small(spark, made).build(catalog)
+    governance = Governance(catalog)
+    me = spark.sql("SELECT current_user()").first()[0]
+    raw = lake.table("dim_customer")
+    employees = spark.table("gov_silver.dim_employee")
+    at = dt.datetime(2026, 1, 1)
+
+    def seen():
+        return spark.table("gov_gold.vw_dim_customer")
+
+    assert seen().count() == 0  # no persona, no row
+    assert {r.ssn for r in employees.select("ssn").collect()} == {"XXX-XX-XXXX"}
+    for i, persona in enumerate(["HR", "REGIONAL_MGR_US_EAST", "SALES_REP", "FINANCE"]):
+        governance.set_persona(me, persona, at + dt.timedelta(minutes=i))
+        reader = lake.read_as(Identity(me, persona))
+        for table in ("dim_customer", "dim_employee", "fact_gl_transactions"):
+            mine = spark.table(f"gov_silver.{table}")
+            assert listed(mine) == listed(reader.table(table)), (persona, table)
+        assert listed(seen()) == listed(reader.table("vw_dim_customer"))
+        summary = published(reader.table("mv_sales_summary"))
+        assert listed(spark.table("gov_gold.mv_sales_summary"), *summary.columns) == listed(summary)
+        assert spark.table("gov_gold.vw_customer_360").count() == reader.table("vw_customer_360").count()
+    assert raw.count() == seen().count()
+    with pytest.raises(ValueError):
+        governance.set_persona(me, "KING", at)
+    governance.set_persona(me, "SALES_REP", at + dt.timedelta(hours=1))
+    governance.add_members(spark.createDataFrame([(me, "us_west")], "user_email string, group_name string"))
+    assert {r.territory for r in seen().collect()} == {"US-West"}
+    governance.compact()
+    assert spark.table("gov_governance.personas").count() == 1
+    assert {r.territory for r in seen().collect()} == {"US-West"}

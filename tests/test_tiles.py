@@ -4,8 +4,8 @@ import pytest
 from conftest import listed
 
 from lakehouse_kpis.operators.tiles import (
-    Filter, Tile, aggregate, average, distinct, facet, filtered, quotient, rows, rows_where,
-    total, total_where,
+    Filter, Tile, aggregate, average, distinct, facet, facets, filtered, quotient, rows,
+    rows_where, together, total, total_where,
 )
 from lakehouse_kpis.plans import dashboards
 
@@ -85,3 +85,45 @@ def test_counters_sum_to_the_page(lake):
     whole = dashboards.tile(lake, "executive", "net_revenue").first()[0]
     parts = dashboards.tile(lake, "executive", "revenue_by_month_system").collect()
     assert abs(sum(r.net_revenue for r in parts) - whole) < 0.01
+
+
+@pytest.mark.parametrize("selected", [False, True])
+@pytest.mark.parametrize("page", list(dashboards.PAGES))
+def test_a_page_equals_its_tiles(lake, page, selected):
+    selection = dashboards.PAGES[page].example if selected else None
+    found = dashboards.page(lake, page, selection)
+    assert list(found) == list(dashboards.PAGES[page].tiles)
+    for name, frame in found.items():
+        alone = dashboards.tile(lake, page, name, selection)
+        assert frame.columns == alone.columns
+        assert listed(frame) == listed(alone), name
+
+
+@pytest.mark.parametrize("page", list(dashboards.PAGES))
+def test_all_facets_in_one_pass(lake, page):
+    selection = dashboards.PAGES[page].example
+    together_ = {}
+    for r in dashboards.page_options(lake, page, selection).collect():
+        together_.setdefault(r.control, set()).add((r.dataset, r.option, r.associativity))
+    for f in dashboards.PAGES[page].filters:
+        assert together_[f.column] == set(map(tuple, dashboards.options(
+            lake, page, f.column, selection).collect())), f.column
+
+
+def test_one_pass_per_dataset(data):
+    """The rows are read once for all tiles, and once for all controls."""
+    tiles = {
+        "t": Tile("sales", measures={"t": total("v")}),
+        "d": Tile("sales", ("place",), {"d": distinct("kind")}),
+        "n": Tile("sales", ("kind", "place"), {"n": rows(), "a": average("v")}),
+    }
+    groups, take = together(tiles, data["sales"])
+    plan = groups._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1
+    for name, tile in tiles.items():
+        assert listed(take(groups, name)) == listed(aggregate(tile, data["sales"]))
+    none = data["sales"].limit(0)
+    groups, take = together(tiles, none)
+    assert listed(take(groups, "t")) == [(None,)] and listed(take(groups, "n")) == []
+    plan = facets(FILTERS, "sales", data["sales"], {"place": ["E"], "kind": ["x"]})
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
