@@ -117,7 +117,8 @@ def _divided(lines: DataFrame, charges: DataFrame) -> DataFrame:
     Lines are ranked within blocks of line numbers, and a block starts where the counts of the
     blocks before it end, so an invoice of any length is ranked in many tasks.
     """
-    block = F.expr(f"line_num div {BLOCK}")
+    # lines without a number are a block of their own, the first
+    block = F.expr(f"coalesce(line_num div {BLOCK}, {-(1 << 62)})")
     sizes = lines.groupBy("invoice_id", block.alias("_block")).agg(F.count("*").alias("_n"))
     whole = Window.partitionBy("invoice_id")
     sizes = sizes.select(

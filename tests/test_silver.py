@@ -195,3 +195,17 @@ def test_stages_and_lead_events(spark):
                  "'l' LEAD_SOURCE")
     outcomes = [r.deal_outcome for r in facts.fact_crm_deals(deals).collect()]
     assert sorted(outcomes) == ["LOST", "OPEN", "OPEN", "WON"]
+
+
+def test_lines_without_a_number_get_their_share(spark):
+    from lakehouse_kpis.operators.facts import _divided
+
+    lines = spark.createDataFrame(
+        [("i", 1, 1.0), ("i", None, 2.0), ("i", 2, 3.0)], "invoice_id string, line_num int, v double"
+    )
+    charges = spark.sql(
+        "SELECT 'i' AS invoice_id, 10.00BD AS freight_amount, -0.01BD AS discount_amount, 0.00BD AS pallet_amount"
+    )
+    rows = {r.line_num: r for r in _divided(lines, charges).collect()}
+    assert [str(rows[n].freight_amount) for n in (None, 1, 2)] == ["3.34", "3.33", "3.33"]
+    assert sum(r.discount_amount for r in rows.values()) == charges.first().discount_amount
