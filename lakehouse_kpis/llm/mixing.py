@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import math
+import warnings
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from lakehouse_kpis.llm.tables import stored, text_batches
 
 BUCKETS = 1 << 15        # of hashed words
-LABELLED = 8192          # labelled documents that the classifier is fitted on, at most
+LABELLED = 8192          # labelled documents that the classifier is fitted on, at most, per domain
+SAMPLE_CELLS = 1 << 40   # of the hash that draws them
 SMOOTHING = 0.5
 MAX_STEPS = 40
 TOLERANCE = 1e-4         # largest relative error of a domain total at which the steps end
@@ -74,40 +76,48 @@ def domain_of(labels: DataFrame) -> DataFrame:
 
 
 def fit(documents: DataFrame, domains: DataFrame, rows: int = LABELLED) -> Domains:
-    """Fit the classifier on `rows` labelled documents at most, those with the smallest hashes.
+    """Fit the classifier on about `rows` labelled documents of each domain at most.
 
-    Only sums come to the driver: BUCKETS counts per domain. The domains are those that occur.
+    The domains are those of all labelled documents at hand, however rare. Their numbers are counted
+    first, over ids alone, and then texts are read of those whose hash lies below the bound that the
+    count of their domain gives; a domain with up to `rows` documents is taken whole. Shares of the
+    domains come from the counts, not from the sample. Only sums come to the driver: BUCKETS counts
+    per domain.
     """
     text_batches(documents.sparkSession)
-    sample = domains.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    known = documents.select("doc_id", F.col("text").cast("binary").alias("text")).join(
-        F.broadcast(sample), "doc_id"  # `rows` rows at most
+    labelled = documents.select("doc_id", F.col("text").cast("binary").alias("text")).join(
+        domains, "doc_id"
     )
+    total = {
+        r["domain"]: r["n"]
+        for r in labelled.groupBy("domain").agg(F.count("*").alias("n")).collect()
+    }
+    names = tuple(sorted(total)) or (EMPTY,)
+    bounds = F.lit(0)
+    for name, n in total.items():
+        share = min(rows * SAMPLE_CELLS // n, SAMPLE_CELLS)
+        bounds = F.when(F.col("domain") == name, share).otherwise(bounds)
+    cell = F.pmod(F.xxhash64(F.lit("labelled"), "doc_id"), F.lit(SAMPLE_CELLS))
+    known = labelled.where(cell < bounds)
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
-        docs: dict[str, int] = {}
         for batch in batches:
             for domain, text in zip(batch["domain"], batch["text"]):
                 held = sums.setdefault(domain, np.zeros(BUCKETS, np.int64))
                 held += np.bincount(hashed_words(text), minlength=BUCKETS)
-                docs[domain] = docs.get(domain, 0) + 1
         for domain, held in sums.items():
             at = np.flatnonzero(held)
             yield pd.DataFrame({"domain": domain, "bucket": at, "n": held[at]})
-            yield pd.DataFrame({"domain": [domain], "bucket": [-1], "n": [docs[domain]]})
 
     found = known.select("domain", "text").mapInPandas(
         counts, "domain string, bucket int, n bigint"
     ).groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    names = tuple(sorted(found["domain"].unique())) or (EMPTY,)
     words = np.full((BUCKETS, len(names)), SMOOTHING)
-    docs = np.ones(len(names))
+    docs = np.array([1.0 + total.get(name, 0) for name in names])
     for k, name in enumerate(names):
-        own = found[found["domain"] == name]
-        held = own[own["bucket"] >= 0]
+        held = found[found["domain"] == name]
         words[held["bucket"].to_numpy(np.int64), k] += held["n"].to_numpy()
-        docs[k] += own.loc[own["bucket"] < 0, "n"].sum()
     return Domains(names, np.log(docs / docs.sum()), np.log(words / words.sum(axis=0)))
 
 
@@ -144,19 +154,26 @@ class Rates:
 
 @dataclass(frozen=True)
 class Fit:
-    """Rates, the targets in tokens, the totals reached and the totals at rates of one."""
+    """Rates, the targets in tokens, the totals reached, the totals at rates of one, and error, the
+    largest relative error of a domain's total: above TOLERANCE the targets were not reached."""
 
     rates: Rates
     targets: np.ndarray
     reached: np.ndarray
     before: np.ndarray
+    error: float
 
 
 def targets_for(names: tuple[str, ...], before: np.ndarray, weights: dict[str, float]) -> np.ndarray:
     """Tokens wanted of each domain: the corpus' own total, dealt by weight. A domain without a
-    weight, and one without tokens, keeps what it has; with nothing to deal out, all do."""
+    weight, and one without tokens, keeps what it has; with nothing to deal out, all do. Weights that
+    no document can meet are told in a warning, and their share goes to the other domains."""
     weighted = np.array([n in weights for n in names]) & (before > 0)
     wanted = np.array([weights.get(n, 0.0) for n in names]) * weighted
+    held = {n for n, w in zip(names, weighted) if w}
+    unmet = sorted(n for n, w in weights.items() if w > 0 and n not in held)
+    if unmet and before.sum() > 0:
+        warnings.warn(f"no tokens of the domains {unmet}: their weights are dealt to the others")
     if not wanted.sum():
         return before.copy()
     return np.where(weighted, wanted / wanted.sum() * before[weighted].sum(), before)
@@ -166,49 +183,60 @@ def solve(members: DataFrame, names: tuple[str, ...], weights: dict[str, float])
     """Projected gradient steps over the rows of `memberships`.
 
     Document i adds rate_i * n_i * p_i to the totals. In the norm that weighs documents by their
-    tokens, the gradient of a squared error of totals, measured through the inverse of the documents'
-    second moments G = sum(n p p'), is p_i' G^-1 (totals - targets): one step would reach the targets
-    if no rate had to be raised to zero. The projection sets negative rates to zero.
+    tokens, the gradient of a squared error of totals, measured through the inverse of second moments
+    G = sum(n p p'), is p_i' G^-1 (totals - targets). The projection sets negative rates to zero. A
+    document at zero does not answer to a small step, so G is taken over the documents with a positive
+    rate, found in the same pass as the totals; a step that makes the error larger is halved. Without
+    a rate at zero one step reaches the targets. The steps end at TOLERANCE or after MAX_STEPS passes,
+    which targets beyond any nonnegative rates need; the best rates stay and `error` says how good.
     """
     k = len(names)
-    at = [(i, j) for i in range(k) for j in range(i + 1)]
-    first = members.agg(
-        F.array(*[F.coalesce(F.sum(F.col("p")[i] * F.col("n_tokens")), F.lit(0.0))
-                  for i in range(k)]).alias("s"),
-        F.array(*[F.coalesce(F.sum(F.col("p")[i] * F.col("p")[j] * F.col("n_tokens")), F.lit(0.0))
-                  for i, j in at]).alias("g"),
-    ).first()
-    before, gram = np.array(first["s"]), np.zeros((k, k))
-    for (i, j), v in zip(at, first["g"]):
-        gram[i, j] = gram[j, i] = v
+    before, full = _moments(members, None, k)
     targets = targets_for(names, before, weights)
-    inverse = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
-    steps, totals = [], before
     scale = np.maximum(targets, 1e-6 * max(before.sum(), 1.0))
-    best = (math.inf, 0, before)
-    for done in range(MAX_STEPS + 1):
-        error = float(np.abs((totals - targets) / scale).max())
-        if error < best[0]:
-            best = (error, done, totals)
-        if error <= TOLERANCE or done == MAX_STEPS:
-            break
-        steps.append(inverse @ (targets - totals))
-        totals = _totals(members, Rates(np.array(steps)), k)
-    kept = np.array(steps[:best[1]]).reshape(-1, k)
-    return Fit(Rates(kept), targets, best[2], before)
 
+    def off(totals: np.ndarray) -> float:
+        return float(np.abs((totals - targets) / scale).max())
 
-def _totals(members: DataFrame, rates: Rates, k: int) -> np.ndarray:
+    steps: list[np.ndarray] = []
+    totals, gram, error, share = before, full, off(before), 1.0
+    for _ in range(MAX_STEPS):
+        if error <= TOLERANCE:
+            break
+        answering = (np.diag(gram) > 1e-6 * np.diag(full)).all()
+        inverse = np.linalg.pinv(gram if answering else full, rcond=1e-9, hermitian=True)
+        step = share * (inverse @ (targets - totals))
+        reached, moments = _moments(members, Rates(np.array([*steps, step])), k)
+        if off(reached) < error:
+            steps.append(step)
+            totals, gram, error, share = reached, moments, off(reached), min(1.0, 2 * share)
+        else:
+            share /= 2
+    return Fit(Rates(np.array(steps).reshape(-1, k)), targets, totals, before, error)
+
+
+def _moments(members: DataFrame, rates: Rates | None, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Totals of the domains at the rates (None: all one), and sum(n p p') over the documents with a
+    positive rate, from one pass."""
     @F.pandas_udf("double")
     def rate(p: pd.Series) -> pd.Series:
         return pd.Series(rates.of(np.stack(p.to_numpy())) if len(p) else [], dtype=float)
 
-    rated = members.select("n_tokens", "p", rate("p").alias("r"))
-    weight = F.col("r") * F.col("n_tokens")
-    sums = rated.agg(F.array(*[
-        F.coalesce(F.sum(weight * F.col("p")[i]), F.lit(0.0)) for i in range(k)
-    ])).first()[0]
-    return np.array(sums)
+    rated = members.select("n_tokens", "p", (rate("p") if rates else F.lit(1.0)).alias("r"))
+    at = [(i, j) for i in range(k) for j in range(i + 1)]
+    live = F.when(F.col("r") > 0, F.col("n_tokens"))
+
+    def sums(values: list[Column]) -> Column:
+        return F.array(*[F.coalesce(F.sum(v), F.lit(0.0)) for v in values])
+
+    first = rated.agg(
+        sums([F.col("r") * F.col("n_tokens") * F.col("p")[i] for i in range(k)]).alias("s"),
+        sums([live * F.col("p")[i] * F.col("p")[j] for i, j in at]).alias("g"),
+    ).first()
+    gram = np.zeros((k, k))
+    for (i, j), v in zip(at, first["g"]):
+        gram[i, j] = gram[j, i] = v
+    return np.array(first["s"]), gram
 
 
 def copies(rate: Column, doc_id: Column) -> Column:
@@ -219,8 +247,9 @@ def copies(rate: Column, doc_id: Column) -> Column:
 
 
 def mixture(documents: DataFrame, labels: DataFrame, weights: dict[str, float]) -> DataFrame:
-    """doc_id, n_tokens, domain (the likeliest), posterior (JSON by domain), rate and copies of
-    every row of `documents`.
+    """doc_id, n_tokens, domain (the likeliest), posterior (JSON by domain), rate, copies and error
+    (of the whole mixture: the largest relative error of a domain's expected total) of every row of
+    `documents`.
 
     `weights` are the wanted shares of the domains of `domain_of` in all tokens, which stay as many
     as they are. A null text is an empty one: no tokens, the domains' shares as probabilities.
@@ -230,8 +259,8 @@ def mixture(documents: DataFrame, labels: DataFrame, weights: dict[str, float])
     """
     model = fit(documents, domain_of(labels))
     members = stored(memberships(documents, model), "members")
-    rates = solve(members, model.names, weights).rates
-    names = model.names
+    solved = solve(members, model.names, weights)
+    rates, names = solved.rates, model.names
 
     @F.pandas_udf("struct<domain string, posterior string, rate double>")
     def described(p: pd.Series) -> pd.DataFrame:
@@ -247,6 +276,7 @@ def mixture(documents: DataFrame, labels: DataFrame, weights: dict[str, float])
     return members.select("doc_id", "n_tokens", described("p").alias("d")).select(
         "doc_id", "n_tokens", "d.domain", "d.posterior", "d.rate",
         copies(F.col("d.rate"), F.col("doc_id")).alias("copies"),
+        F.lit(solved.error).alias("error"),
     )
 
 

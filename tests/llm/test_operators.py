@@ -1,10 +1,12 @@
 """Every operator against a brute-force version on small frames, edge cases included."""
 
 import hashlib
+import json
 import math
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -287,6 +289,46 @@ def test_mixing(spark, odd, labels):
     assert mixing.mixture(odd, labels.limit(0), TARGET_WEIGHTS).select("rate").distinct().collect() == [(1.0,)]
     assert mixing.mixed(odd, labels, TARGET_WEIGHTS).columns == odd.columns
     assert mixing.mixture(odd.limit(0), labels, TARGET_WEIGHTS).count() == 0
+    # the totals that the rows add up to are the targets
+    n, p = rows["n_tokens"].to_numpy(), pd.DataFrame([json.loads(x) for x in rows["posterior"]])
+    have, got = p.mul(n, axis=0).sum(), p.mul(n * rows["rate"], axis=0).sum()
+    wanted = mixing.targets_for(tuple(have.index), have.to_numpy(), TARGET_WEIGHTS)
+    assert abs(got / wanted - 1).max() < 1e-3 and (rows["error"] <= mixing.TOLERANCE).all()
+
+
+def test_mixing_takes_its_sample_from_the_documents_at_hand(spark):
+    """A domain of one document stays, however many labels of other documents there are."""
+    docs = spark.createDataFrame([(1, "bad bad words"), (2, "fine calm text"), (3, "text")],
+                                 "doc_id bigint, text string")
+    named = spark.range(100_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") == 1, "toxic").otherwise("clean").alias("domain")
+    )
+    model = mixing.fit(docs, named, rows=1)
+    assert model.names == ("clean", "toxic")
+    assert model.posterior(mixing.hashed_words(b"bad words")).argmax() == 1
+
+
+def test_mixing_reaches_targets_that_need_rates_of_zero(spark):
+    rng = np.random.default_rng(3)
+    p = rng.dirichlet([0.3, 0.3, 0.3], 500)
+    rows = [(i, int(n), [float(v) for v in q])
+            for i, (n, q) in enumerate(zip(rng.integers(1, 900, 500), p))]
+    members = spark.createDataFrame(rows, "doc_id bigint, n_tokens bigint, p array<double>")
+    fit = mixing.solve(members, ("a", "b", "c"), {"a": 0.85, "b": 0.05, "c": 0.1})
+    rates = fit.rates.of(p)
+    totals = (p * (rates * np.array([n for _, n, _ in rows]))[:, None]).sum(axis=0)
+    assert (rates >= 0).all() and (rates == 0).any() and fit.error <= mixing.TOLERANCE
+    assert abs(totals / fit.targets - 1).max() <= 2 * mixing.TOLERANCE
+    # beyond any rates: every document is half of each, so equal totals are all there is
+    even = members.select("doc_id", "n_tokens", F.array(F.lit(0.5), F.lit(0.5)).alias("p"))
+    stuck = mixing.solve(even, ("a", "b"), {"a": 0.9, "b": 0.1})
+    assert stuck.error > mixing.TOLERANCE and len(stuck.rates.steps) <= mixing.MAX_STEPS
+
+
+def test_mixing_tells_of_weights_that_nothing_can_meet():
+    with pytest.warns(UserWarning, match="toxic"):
+        wanted = mixing.targets_for(("clean",), np.array([9.0]), {"clean": 0.5, "toxic": 0.5})
+    assert wanted.tolist() == [9.0]
 
 
 def test_personal_data(spark, odd):
