@@ -20,6 +20,7 @@ from lakehouse_kpis.governance.policy import (
 from lakehouse_kpis.governance.views import Governance
 from lakehouse_kpis.operators import dims, facts, gold
 from lakehouse_kpis.operators.matview import MaterializedView, in_months
+from lakehouse_kpis.operators.rollups import Rollups, rollup
 from lakehouse_kpis.plans import dashboards, questions
 from lakehouse_kpis.plans.lakehouse import Lakehouse
 from lakehouse_kpis.plans.sales_metrics import sales_metrics
@@ -200,6 +201,10 @@ def _gold() -> dict:
         "gold_finance_kpis": lambda lake: lake.table("vw_finance_kpis"),
         "gold_customer_360": lambda lake: lake.table("vw_customer_360"),
         "gold_ar_aging": lambda lake: lake.table("vw_ar_aging"),
+        "gold_ar_aging_series": lambda lake: gold.ar_aging_series(
+            lake.table("fact_invoice_lines"),
+            [month_start(AS_OF, 1 - i) - dt.timedelta(days=1) for i in range(24)],
+        ),
     }
 
 
@@ -244,10 +249,28 @@ def _metrics() -> dict:
             having="`Invoice Count` >= 20 AND `Net Revenue` > 0",
         ),
         "metric_rank": _ranked_lines,
+        "rollup_total": lambda lake: _rollups(lake).query([], every),
+        "rollup_all_by_territory_line": lambda lake: _rollups(lake).query(
+            ["Territory", "Product Line"], every
+        ),
+        "rollup_where_text": lambda lake: _rollups(lake).query(
+            ["Product Line"], ["Gross Revenue", "Invoice Count", "Active Customers"],
+            where=["`Territory` LIKE 'US-%'", ("Invoice Month", ">=", dt.date(2000, 3, 1))],
+        ),
     }
     return found
 
 
+@functools.lru_cache(maxsize=4)
+def _rollups(lake: Lakehouse) -> Rollups:
+    """Every measure by month, territory and product line, written once."""
+    made = rollup(
+        lake.metrics, ["Invoice Month", "Territory", "Product Line"], list(lake.metrics.view.measures),
+        near="source.invoice_date",
+    )
+    return Rollups(lake.metrics, [written(made, "rollup")])
+
+
 def _ranked_lines(lake: Lakehouse) -> DataFrame:
     """The two best months of each product line."""
     monthly = lake.metrics.query(["Product Line", "Invoice Month"], ["Net Revenue"])

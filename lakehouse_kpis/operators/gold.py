@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from bisect import bisect_right
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakehouse_kpis.functions.dates import month_of
@@ -143,3 +145,53 @@ def ar_aging(fact: DataFrame, as_of: dt.date) -> DataFrame:
         F.count_distinct("invoice_id").alias("invoice_count"),
         F.round(F.sum("net_invoice_amount"), 2).alias("outstanding_usd"),
     )
+
+
+def ar_aging_series(fact: DataFrame, as_ofs: Sequence[dt.date]) -> DataFrame:
+    """`ar_aging` at every one of several dates, with as_of as one more column, from one pass.
+
+    The bounds of all buckets of all dates cut time into cells; within a cell an invoice line is in
+    the same bucket at each date. So the fact is reduced to customers by cells once, and only that is
+    read once per date. An invoice with lines in several cells counts once a bucket: a cell keeps which
+    cell of the same invoice comes before, and counts where the two are in different buckets.
+    """
+    days = sorted(set(as_ofs))
+    if not days:
+        raise ValueError("no dates")
+    bounds = [bound for bound, _ in fixed.AGING_BUCKETS]
+    cuts = sorted({day - dt.timedelta(days=b) for day in days for b in bounds})
+    # of each date: the cells from which on a line is as young as each bound
+    dates = F.array(*[F.struct(F.lit(day).alias("as_of"), F.array(*[
+        F.lit(bisect_right(cuts, day - dt.timedelta(days=b))) for b in bounds
+    ]).alias("from")) for day in days])
+    names = F.array(*[F.lit(n) for _, n in fixed.AGING_BUCKETS], F.lit(fixed.OLDEST_BUCKET))
+
+    def bucket(cell: Column) -> Column:
+        return F.size(F.filter(F.col("at.from"), lambda c: c > cell))
+
+    cells = fact.groupBy(
+        "customer_key", "invoice_id", _cell(F.col("invoice_date"), cuts).alias("cell")
+    ).agg(F.sum("net_invoice_amount").alias("amount"))
+    invoice = Window.partitionBy("customer_key", "invoice_id").orderBy("cell")
+    reduced = cells.withColumn("older", F.lag("cell").over(invoice)).groupBy(
+        "customer_key", "cell", "older"
+    ).agg(F.count("invoice_id").alias("n"), F.sum("amount").alias("amount"))
+    aged = reduced.select("*", F.explode(dates).alias("at")).select(
+        "at.as_of", "customer_key", "n", "amount", bucket(F.col("cell")).alias("place"),
+        F.when(F.col("older").isNotNull(), bucket(F.col("older"))).alias("place_before"),
+    )
+    again = F.col("place_before") == F.col("place")
+    return aged.groupBy("as_of", "customer_key", F.get(names, "place").alias("aging_bucket")).agg(
+        F.sum(F.when(again, 0).otherwise(F.col("n"))).alias("invoice_count"),
+        F.round(F.sum("amount"), 2).alias("outstanding_usd"),
+    )
+
+
+def _cell(day: Column, cuts: Sequence[dt.date], first: int = 0) -> Column:
+    """How many of the cuts a day has reached, found by halving; 0 for an unknown day."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    return F.when(
+        day >= F.lit(cuts[middle]), _cell(day, cuts[middle + 1:], first + middle + 1)
+    ).otherwise(_cell(day, cuts[:middle], first))

@@ -23,12 +23,12 @@ from lakehouse_kpis.functions.money import published
 from lakehouse_kpis.operators.dims import dedupe_latest
 from lakehouse_kpis.operators.ranges import between
 
-_OPS = {
+COMPARE = {
     "=": operator.eq, "<>": operator.ne, "<": operator.lt, "<=": operator.le,
     ">": operator.gt, ">=": operator.ge,
 }
 # a string literal, which is left as it is, or a name in back-ticks
-_NAMED = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`([^`]+)`", re.DOTALL)
+NAMED = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`([^`]+)`", re.DOTALL)
 
 
 def _mentions(table: str, text: str) -> bool:
@@ -159,29 +159,20 @@ class Metrics:
         back-ticks or (dimension, operator, value). having: SQL text over the result
         columns. order_by: result columns, "-name" for descending.
         """
-        groups = {name: self._dimension(name).expr for name in dims}
+        groups = {name: self.dimension(name).expr for name in dims}
         totals = {name: self._measure(name, approximate) for name in measures}
         conditions = [self._condition(w) for w in where]
         texts = [*groups.values(), *totals.values(), *[text for text, _ in conditions]]
 
-        rows = self._rows(texts)
+        rows = self.rows(texts)
         for _, condition in conditions:
             rows = rows.filter(condition)
         result = rows.groupBy(*[F.expr(e).alias(n) for n, e in groups.items()]).agg(
             *[F.expr(e).alias(n) for n, e in totals.items()]
         )
-        if having:
-            result = result.filter(having)
-        if order_by:
-            result = result.orderBy(*[
-                F.desc_nulls_last(f"`{n[1:]}`") if n.startswith("-") else F.asc(f"`{n}`")
-                for n in order_by
-            ])
-        if limit is not None:
-            result = result.limit(limit)
-        return published(result)
-
-    def _rows(self, texts: Sequence[str]) -> DataFrame:
+        return published(finished(result, having, order_by, limit))
+
+    def rows(self, texts: Sequence[str]) -> DataFrame:
         """The filtered source with the joins that any of the expressions mentions.
 
         Leaving out a join changes nothing else, because it matches at most once and drops
@@ -218,7 +209,7 @@ class Metrics:
         message = f"join {join.name!r}: {', '.join(join.keys)} is not unique in {join.source}"
         return F.assert_true(most <= 1, message).isNull()
 
-    def _dimension(self, name: str) -> Dimension:
+    def dimension(self, name: str) -> Dimension:
         try:
             return self.view.dimensions[name]
         except KeyError:
@@ -238,25 +229,39 @@ class Metrics:
                 return match[0]
             return f"({self._measure(match[1], approximate, (*path, name))})"
 
-        return _NAMED.sub(inner, text)
+        return NAMED.sub(inner, text)
 
     def _condition(self, where: str | tuple[str, str, Any]) -> tuple[str, Column]:
         if isinstance(where, str):
-            text = _NAMED.sub(
-                lambda m: f"({self._dimension(m[1]).expr})"
+            text = NAMED.sub(
+                lambda m: f"({self.dimension(m[1]).expr})"
                 if m[1] in self.view.dimensions else m[0],
                 where,
             )
             return text, F.expr(text)
         name, op, value = where
-        dimension = self._dimension(name)
+        dimension = self.dimension(name)
         if dimension.truncates:
             column, grain = dimension.truncates
             bounds = _span(op, value, grain)
             if bounds is not None:
                 columns = self.tables[self.view.source].columns
                 return "", between(column, *bounds, columns, prefix="source.")
-        return dimension.expr, _OPS[op](F.expr(dimension.expr), F.lit(value))
+        return dimension.expr, COMPARE[op](F.expr(dimension.expr), F.lit(value))
+
+
+def finished(
+    result: DataFrame, having: str | None, order_by: Sequence[str], limit: int | None
+) -> DataFrame:
+    """What is asked of a result after it is aggregated."""
+    if having:
+        result = result.filter(having)
+    if order_by:
+        result = result.orderBy(*[
+            F.desc_nulls_last(f"`{n[1:]}`") if n.startswith("-") else F.asc(f"`{n}`")
+            for n in order_by
+        ])
+    return result if limit is None else result.limit(limit)
 
 
 def _span(op: str, value: Any, grain: str) -> tuple[dt.date | None, dt.date | None] | None:

@@ -214,6 +214,11 @@ add("gold_customer_360",
     f"SELECT * EXCLUDE (days_since_last_invoice) REPLACE "
     f"({', '.join(f'{dbl(c)} AS {c}' for c in C360_MONEY)}) FROM c360")
 add("gold_ar_aging", f"SELECT {doubled(['outstanding_usd'])} FROM aging")
+add("gold_ar_aging_series", f"""
+SELECT as_of, customer_key, {BUCKET.replace("DATE '2001-08-31'", "as_of")} AS aging_bucket,
+  {big('count(DISTINCT invoice_id)')} AS invoice_count, {dbl('sum(net_invoice_amount)')} AS outstanding_usd
+FROM fact, (SELECT last_day(DATE '2001-08-01' - to_months(i)) AS as_of FROM range(24) r(i))
+GROUP BY ALL""")
 
 # --- metric view --------------------------------------------------------------------------
 
@@ -298,6 +303,11 @@ add("metric_where_literal", metric(
     "territory IS NOT NULL AND country IS NOT NULL"))
 add("metric_having", metric(["Invoice Month", "Territory"], ["Net Revenue", "Invoice Count"])
     + f" HAVING {_INVOICES} >= 20 AND {_NET} > 0")
+add("rollup_total", metric([], list(MEASURE)))
+add("rollup_all_by_territory_line", metric(["Territory", "Product Line"], list(MEASURE)))
+add("rollup_where_text", metric(
+    ["Product Line"], ["Gross Revenue", "Invoice Count", "Active Customers"],
+    "territory LIKE 'US-%' AND invoice_month >= DATE '2000-03-01'"))
 add("metric_rank", f"""
 SELECT *, CAST(row_number() OVER (PARTITION BY "Product Line"
   ORDER BY "Net Revenue" DESC, "Invoice Month") AS INTEGER) AS place
