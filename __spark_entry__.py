@@ -393,6 +393,7 @@ def _dashboards() -> dict:
 def _written() -> dict:
     return {
         "matview_sales_summary": _refreshed_summary,
+        "matview_finds_months": _summary_after_changes,
         "lake_reopened_summary": lambda lake: _opened(lake)[1].table("mv_sales_summary"),
         "lake_published_customers": _published_customers,
     }
@@ -435,3 +436,36 @@ def _refreshed_summary(lake: Lakehouse) -> DataFrame:
     view.refresh()
     view.refresh([month_start(AS_OF, -i) for i in range(3)])
     return view.read()
+
+
+def _summary_after_changes(lake: Lakehouse) -> DataFrame:
+    """The sales summary of lines that change between two refreshes, each of which finds its months.
+
+    At first the lines of one month are missing and those of another have no discount.
+    """
+    lines = lake.table("fact_invoice_lines").drop(dims.LOADED_AT)
+    month = month_of("invoice_date")
+    early = lines.filter(month != month_start(AS_OF, -5)).withColumn("discount_amount", F.when(
+        month == month_start(AS_OF, -30), F.lit(0).cast(lines.schema["discount_amount"].dataType)
+    ).otherwise(F.col("discount_amount")))
+    held = {"lines": early}
+    customer = lake.table("dim_customer").select("customer_key", "territory", "customer_segment")
+    product = lake.table("dim_product").select(
+        "product_key", "product_line", "product_tier", "unit_cost_usd"
+    )
+
+    def define(months):
+        fact = held["lines"]
+        if months is not None:
+            fact = in_months(fact, "invoice_date", months)
+        return published(gold.sales_summary(fact, customer, product))
+
+    view = MaterializedView(
+        lake.spark, f"{shared_dir(lake.spark)}/mv_found-{uuid.uuid4().hex}", define,
+        sources=lambda: {"lines": (held["lines"], "invoice_date"), "customer": (customer, None),
+                         "product": (product, None)},
+    )
+    view.refresh()
+    held["lines"] = lines
+    view.refresh()
+    return view.read()

@@ -21,7 +21,7 @@ from lakehouse_kpis.functions.money import published
 from lakehouse_kpis.operators.metrics import COMPARE, NAMED, Metrics, MetricView, finished
 from lakehouse_kpis.operators.numbering import numbered
 
-_SUM = re.compile(r"\s*sum\s*\((.*)\)\s*", re.IGNORECASE | re.DOTALL)
+_SUM = re.compile(r"\s*sum\s*\((?!\s*distinct\b)(.*)\)\s*", re.IGNORECASE | re.DOTALL)
 _COUNT = re.compile(r"\s*count\s*\((?!\s*distinct\b)(.*)\)\s*", re.IGNORECASE | re.DOTALL)
 _DISTINCT = re.compile(r"\s*count\s*\(\s*distinct\b(.*)\)\s*", re.IGNORECASE | re.DOTALL)
 COUNTED, BUCKET, BITS = "_counted", "_bucket", "_bits"

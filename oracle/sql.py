@@ -203,6 +203,7 @@ FROM ({rows}) GROUP BY ALL"""
 
 add("gold_sales_summary", summary("SELECT * FROM d_invoices"))
 add("matview_sales_summary", summary("SELECT * FROM d_invoices"))
+add("matview_finds_months", summary("SELECT * FROM d_invoices"))
 add("gov_sales_summary_regional",
     summary("SELECT * FROM d_invoices WHERE territory = 'Canada-West'"))
 add("gold_finance_kpis", finance("SELECT * FROM d_gl"))

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import listed
+from conftest import first_plan, listed
 from pyspark.sql import functions as F
 
 from lakehouse_kpis.operators import gold
@@ -22,6 +22,36 @@ def test_aging_edges(spark, days, bucket):
     assert listed(gold.ar_aging(fact, NOW)) == [("C1", bucket, 1, 11.0)]
 
 
+def test_aging_series_is_single_dates(spark):
+    """Invoices over several days and buckets, unknown days, ids and amounts, days ahead."""
+    def day(n):
+        return NOW - dt.timedelta(days=n)
+
+    rows = [("C1", "I1", day(0), 1.0), ("C1", "I1", day(2), 2.0), ("C1", "I1", day(400), 4.0),
+            ("C1", "I2", day(31), 8.0), ("C1", "I2", None, 16.0), ("C1", None, day(61), 32.0),
+            ("C2", "I3", day(-40), 64.0), ("C2", "I4", day(95), None), (None, "I5", day(10), 5.0),
+            ("C2", "I3", day(-39), 1.0), ("C1", "I1", day(70), 3.0), ("C1", "I1", day(61), 3.0)]
+    fact = spark.createDataFrame(
+        rows, "customer_key string, invoice_id string, invoice_date date, net_invoice_amount double")
+    dates = [day(n) for n in (-60, -41, 0, 1, 29, 30, 30, 90, 500)]
+    want = [(d, *row) for d in set(dates) for row in listed(gold.ar_aging(fact, d))]
+    series = gold.ar_aging_series(fact, dates)
+    assert listed(series) == sorted(want, key=repr)
+    assert gold.ar_aging_series(fact.limit(0), dates).count() == 0
+    with pytest.raises(ValueError):
+        gold.ar_aging_series(fact, [])
+
+
+def test_aging_series_reads_the_fact_once(spark, lake):
+    fact = lake.table("fact_invoice_lines")
+    one, many = (gold.ar_aging_series(fact, [NOW - dt.timedelta(days=31 * i) for i in range(n)])
+                 for n in (1, 24))
+    plans = [first_plan(df) for df in (one, many)]
+    assert plans[0].count("FileScan") == plans[1].count("FileScan")
+    # the distinct counts add none to those of the fact itself
+    assert plans[1].count("Expand") == first_plan(fact).count("Expand")
+
+
 def test_bucket_order(spark):
     names = ["365+", "0-30", "91-180", "31-60", "181-365", "61-90"]
     df = spark.createDataFrame([(n,) for n in names], "b string")

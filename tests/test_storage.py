@@ -10,7 +10,7 @@ from lakehouse_kpis.functions.money import published
 from lakehouse_kpis.governance.persona import SCHEMA, PersonaTable
 from lakehouse_kpis.governance.policy import Identity
 from lakehouse_kpis.governance.views import Governance
-from lakehouse_kpis.operators.matview import MaterializedView, in_months
+from lakehouse_kpis.operators.matview import MaterializedView, in_months, signature
 from lakehouse_kpis.plans import questions
 from lakehouse_kpis.session import shared_dir
 from lakehouse_kpis.sources.landed import LandedTables
@@ -146,6 +146,81 @@ def test_a_view_without_rows_is_readable(spark, tmp_path):
     assert view.read().count() == 0
 
 
+def test_a_view_finds_the_months_that_changed(spark, tmp_path):
+    jan, feb, mar = dt.date(2024, 1, 5), dt.date(2024, 2, 5), dt.date(2024, 3, 5)
+    shape = "day date, k string, v int"
+    held = {"lines": [(jan, "a", 1), (feb, "a", 2), (feb, "b", 3), (mar, "a", 4)], "names": [("a", "A")]}
+    asked = []
+
+    def lines():
+        return spark.createDataFrame(held["lines"], shape)
+
+    def names():
+        return spark.createDataFrame(held["names"], "k string, name string")
+
+    def define(months):
+        asked.append(months)
+        rows = lines() if months is None else in_months(lines(), "day", months)
+        return rows.join(names(), "k", "left").groupBy(
+            F.trunc("day", "MONTH").alias("invoice_month"), "name").agg(F.sum("v").alias("v"))
+
+    view = MaterializedView(spark, str(tmp_path / "mv"), define,
+                            sources=lambda: {"lines": (lines(), "day"), "names": (names(), None)})
+
+    def same():
+        return listed(view.read(), "invoice_month", "name", "v") == listed(define(None))
+
+    assert view.refresh() is None and same()
+    assert view.refresh() == []  # nothing has changed
+    held["lines"] = held["lines"][::-1]
+    assert view.refresh() == []  # nor has it in another order
+    held["lines"] = [(jan, "a", 1), (feb, "a", 2), (feb, "b", 9), (dt.date(2024, 4, 1), "a", 1)]
+    asked.clear()
+    assert view.refresh() == ["2024-02-01", "2024-03-01", "2024-04-01"]  # march is gone
+    assert asked == [[dt.date(2024, m, 1) for m in (2, 3, 4)]] and same()
+    held["names"] = [("a", "A"), ("b", "B")]
+    assert view.refresh() is None and same()  # a dimension reaches every month
+    held["lines"] = [*held["lines"], (None, "a", 5)]
+    assert view.refresh() is None and same()
+    held["lines"] = [(jan, "a", 1), (jan, "a", 1), *held["lines"][1:]]
+    assert view.refresh() == ["2024-01-01"] and same()  # a copy of a row is a row
+
+
+def test_a_null_that_moves_changes_the_signature(spark):
+    shape = "day date, a int, b int"
+    one = spark.createDataFrame([(None, 1, None)], shape)
+    other = spark.createDataFrame([(None, None, 1)], shape)
+    assert signature(one, "day") != signature(other, "day")
+    assert signature(one.limit(0), "day") == {}
+
+
+def test_a_reader_keeps_its_state_and_broken_refreshes_change_nothing(spark, tmp_path):
+    month = dt.date(2024, 1, 1)
+    held = {"v": 1.0}
+
+    def define(months):
+        if held["v"] is None:
+            return spark.range(1).select(
+                F.lit(month).alias("invoice_month"), F.raise_error("lost").cast("double").alias("v"))
+        return spark.createDataFrame([(month, held["v"])], "invoice_month date, v double")
+
+    view = MaterializedView(spark, str(tmp_path / "mv"), define)
+    view.refresh()
+    reader = view.read()
+    held["v"] = 2.0
+    view.refresh()
+    assert reader.first()["v"] == 1.0 and view.read().first()["v"] == 2.0
+    held["v"] = None
+    with pytest.raises(Exception, match="lost"):
+        view.refresh()
+    held["v"] = 3.0
+    assert view.read().first()["v"] == 2.0
+    view.refresh()
+    assert view.read().first()["v"] == 3.0
+    # what only the first state read is gone
+    assert len(list((tmp_path / "mv" / "states").glob("*.json"))) == 2
+
+
 def test_personas_survive_a_broken_write(spark, tmp_path):
     table = PersonaTable(spark, str(tmp_path / "personas"))
     at = dt.datetime(2024, 1, 1)
