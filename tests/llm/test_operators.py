@@ -331,6 +331,51 @@ def test_mixing_tells_of_weights_that_nothing_can_meet():
     assert wanted.tolist() == [9.0]
 
 
+def test_personal_data_the_rules_cannot_see(spark):
+    """The network's own spans: planted in texts it was not trained on, in other spellings."""
+    docs = table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text")
+    net = pii.fit(docs.where("doc_id % 4 <> 1"))
+    held = docs.where("doc_id % 4 = 1").orderBy("doc_id").toPandas()["text"].fillna("")
+    plain = pii.find(list(held), net)
+    false = sum(len(spans) - len(base) for base, spans in plain)
+    rng, wanted, hits, added = np.random.default_rng(5), 0, 0, 0
+    for text, (base, _) in zip(held, plain):
+        made, at, gold = "", 0, set()
+        for a, b, kind in base:
+            if a < at:
+                continue
+            made += text[at:a]
+            for piece, inside in pii.spelled(text[a:b], kind, rng):
+                if inside:
+                    gold.add((len(made), len(made) + len(piece), kind))
+                made += piece
+            at = b
+        made += text[at:]
+        ruled, spans = pii.find([made], net)[0]
+        assert ruled == pii.rule_spans(made) and set(ruled) <= set(spans)
+        gold = {g for g in gold if not any(a < g[1] and g[0] < b for a, b, _ in ruled)}
+        new = set(spans) - set(ruled)
+        wanted, hits, added = wanted + len(gold), hits + len(gold & new), added + len(new)
+    assert wanted >= 100 and hits >= 0.8 * wanted and hits >= 0.8 * added and false <= len(held) / 100
+
+
+def test_personal_data_cut_by_windows_is_joined():
+    # parts: start, end, kind, score, cut on the left, cut on the right
+    parts = [(70, 80, 0, 1.0, False, True), (80, 120, 0, 0.5, True, True), (100, 130, 0, 1.0, True, False),
+             (10, 20, 1, 1.0, False, True), (20, 40, 2, 1.0, True, False), (300, 310, 0, 1.0, True, False)]
+    assert [s[:3] for s in pii._joined(parts)] == [(70, 130, 0)]
+    assert pii._joined([]) == []
+    many = [p for i in range(20_000) for p in ((i * 100, i * 100 + 20, 3, 1.0, False, True),
+                                               (i * 100 + 10, i * 100 + 50, 3, 1.0, True, False))]
+    assert len(pii._joined(many)) == 20_000
+
+
+def test_personal_data_of_an_empty_table(spark, odd):
+    assert pii.fit(odd.limit(0)) is None
+    assert pii.personal_data(odd.limit(0), None).count() == 0
+    assert pii.redacted(odd.limit(0), None).columns == odd.columns
+
+
 def test_personal_data(spark, odd):
     model = pii.fit(table(spark, SMALL, "documents"))
     rows = {r["doc_id"]: r for r in pii.personal_data(odd, model).collect()}
