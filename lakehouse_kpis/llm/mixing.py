@@ -78,27 +78,26 @@ def domain_of(labels: DataFrame) -> DataFrame:
 def fit(documents: DataFrame, domains: DataFrame, rows: int = LABELLED) -> Domains:
     """Fit the classifier on about `rows` labelled documents of each domain at most.
 
-    The domains are those of all labelled documents at hand, however rare. Their numbers are counted
-    first, over ids alone, and then texts are read of those whose hash lies below the bound that the
-    count of their domain gives; a domain with up to `rows` documents is taken whole. Shares of the
-    domains come from the counts, not from the sample. Only sums come to the driver: BUCKETS counts
-    per domain.
+    The domains are those of all labelled documents at hand, however rare. Ids alone are joined with
+    the labels and counted; texts are then read of the ids whose hash lies below the bound that the
+    count of their domain gives. A domain with up to `rows` ids is taken whole. Shares of the domains
+    come from the counts, not from the sample. Only sums come to the driver: BUCKETS counts per domain.
     """
     text_batches(documents.sparkSession)
-    labelled = documents.select("doc_id", F.col("text").cast("binary").alias("text")).join(
-        domains, "doc_id"
-    )
-    total = {
-        r["domain"]: r["n"]
-        for r in labelled.groupBy("domain").agg(F.count("*").alias("n")).collect()
-    }
+    held = documents.groupBy("doc_id").agg(F.count("*").alias("n"))
+    ids = stored(held.join(domains, "doc_id"), "labelled")
+    found = ids.groupBy("domain").agg(F.sum("n").alias("n"), F.count("*").alias("ids")).collect()
+    total = {r["domain"]: r["n"] for r in found}
     names = tuple(sorted(total)) or (EMPTY,)
     bounds = F.lit(0)
-    for name, n in total.items():
-        share = min(rows * SAMPLE_CELLS // n, SAMPLE_CELLS)
-        bounds = F.when(F.col("domain") == name, share).otherwise(bounds)
+    for r in found:
+        share = min(rows * SAMPLE_CELLS // r["ids"], SAMPLE_CELLS)
+        bounds = F.when(F.col("domain") == r["domain"], share).otherwise(bounds)
     cell = F.pmod(F.xxhash64(F.lit("labelled"), "doc_id"), F.lit(SAMPLE_CELLS))
-    known = labelled.where(cell < bounds)
+    sample = ids.where(cell < bounds).select("doc_id", "domain")
+    known = documents.select("doc_id", F.col("text").cast("binary").alias("text")).join(
+        F.broadcast(sample), "doc_id"  # about `rows` ids per domain, of three domains
+    )
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
