@@ -24,7 +24,7 @@ from lakehouse_kpis.operators.numbering import numbered
 _SUM = re.compile(r"\s*sum\s*\((?!\s*distinct\b)(.*)\)\s*", re.IGNORECASE | re.DOTALL)
 _COUNT = re.compile(r"\s*count\s*\((?!\s*distinct\b)(.*)\)\s*", re.IGNORECASE | re.DOTALL)
 _DISTINCT = re.compile(r"\s*count\s*\(\s*distinct\b(.*)\)\s*", re.IGNORECASE | re.DOTALL)
-COUNTED, BUCKET, BITS = "_counted", "_bucket", "_bits"
+COUNTED, BUCKET = "_counted", "_bucket"
 
 
 def _whole(text: str) -> bool:
@@ -62,8 +62,8 @@ def rollup(
 ) -> DataFrame:
     """The rollup of `measures` at `dims`, to be written.
 
-    Columns: the dimensions; the stored measures; and for distinct counts _counted (the measure),
-    _bucket and _bits, which are null in the rows that hold sums. Measures that are made from others
+    Columns: the dimensions; the stored measures, distinct counts as bitmaps; and _counted (the measure
+    of a row with a bitmap) and _bucket, which are null in the rows that hold sums. Measures that are made from others
     are not stored, as they follow from them. near: an expression over the source by whose least
     value counted values are numbered (the invoice date for invoices), so that the values of a cell
     lie close together and take few bitmaps.
@@ -81,7 +81,7 @@ def rollup(
     sums = rows.groupBy(*keys).agg(F.count("*").alias("_rows"), *[
         F.expr(e).alias(n) for n, e in added.items()
     ]).drop("_rows")
-    none = {COUNTED: "string", BUCKET: "bigint", BITS: "binary"}
+    none = {COUNTED: "string", BUCKET: "bigint"}
     out = sums.withColumns({n: F.lit(None).cast(t) for n, t in none.items()})
     for name, value in counted.items():
         out = out.unionByName(
@@ -103,7 +103,7 @@ def _bitmaps(
     ids = numbered(values, ["_near", "_value"], "_id").select("_value", "_id")
     return held.join(ids, "_value").groupBy(
         *groups, F.bitmap_bucket_number("_id").alias(BUCKET)
-    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_id")).alias(BITS)).withColumn(
+    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_id")).alias(name)).withColumn(
         COUNTED, F.lit(name)
     )
 
@@ -150,9 +150,7 @@ class Rollups:
             return None
         held = [c for c in table.columns if c in view.dimensions]
         counted = {n for n in stored if kind_of(view.measures[n].expr)[0] == "distinct"}
-        if not set(dims) <= set(held) or not stored - counted <= set(table.columns):
-            return None
-        if counted and not (BITS in table.columns and counted <= self._counted(table)):
+        if not set(dims) <= set(held) or not stored <= set(table.columns):
             return None
         conditions = []
         for one in where:
@@ -174,17 +172,6 @@ class Rollups:
             cells = cells.filter(condition)
         return cells
 
-    def _counted(self, table: DataFrame) -> set[str]:
-        """Measures that the rollup has bitmaps of; at most as many rows as the view has measures."""
-        key = id(table)
-        if key not in self._known:
-            found = table.filter(F.col(COUNTED).isNotNull()).select(COUNTED).distinct()
-            self._known[key] = {r[0] for r in found.limit(len(self.metrics.view.measures)).collect()}
-        return self._known[key]
-
-    def __post_init__(self) -> None:
-        self._known: dict[int, set[str]] = {}
-
     def _answer(self, cells: DataFrame, dims: Sequence[str], measures: Sequence[str]) -> DataFrame:
         view = self.metrics.view
         stored = sorted(set().union(*[parts_of(view, name) for name in measures]))
@@ -200,9 +187,10 @@ class Rollups:
         if counts:
             # bitmaps of the same numbers are put together, then counted
             cells = cells.groupBy(*keys, COUNTED, BUCKET).agg(
-                F.bitmap_or_agg(BITS).alias(BITS), *[F.sum(f"`{n}`").alias(n) for n in sums]
+                *[F.bitmap_or_agg(f"`{n}`").alias(n) for n in counts],
+                *[F.sum(f"`{n}`").alias(n) for n in sums],
             )
-        of = {n: F.when(F.col(COUNTED) == n, F.bitmap_count(BITS)) for n in counts}
+        of = {n: F.when(F.col(COUNTED) == n, F.bitmap_count(f"`{n}`")) for n in counts}
         totals = cells.groupBy(*keys).agg(F.count("*").alias("_rows"), *[summed(n) for n in sums], *[
             F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in of.items()
         ])

@@ -113,5 +113,5 @@ def test_no_hints_or_driver_loops_in_the_library():
     code = "\n".join(p.read_text() for p in found if p.parent.name != "llm")
     for word in ("broadcast(", "localCheckpoint", ".toPandas", ".rdd", "crossJoin", "udf("):
         assert word not in code, word
-    # the emptied months of a refresh, the groups of a user
+    # the signatures of the months of a view, the groups of a user
     assert code.count(".collect()") == 2
