@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -89,6 +90,24 @@ def dim_date(
     )
 
 
+def dim_date_over(
+    dates: Sequence[DataFrame],
+    start: dt.date = dt.date(2018, 1, 1),
+    end: dt.date = dt.date(2027, 12, 31),
+) -> DataFrame:
+    """One row per day from start to end and of every year, also those between, that a date of the
+    frames (one column each) lies in. Each frame is read once, for its smallest and largest date."""
+    ends = reduce(DataFrame.unionByName, [
+        df.select(F.min(df.columns[0]).alias("low"), F.max(df.columns[0]).alias("high"))
+        for df in dates
+    ]).agg(
+        F.least(F.min("low"), F.lit(start)).alias("low"),
+        F.greatest(F.max("high"), F.lit(end)).alias("high"),
+    )
+    whole = "sequence(trunc(low, 'YEAR'), date_sub(add_months(trunc(high, 'YEAR'), 12), 1))"
+    return calendar(ends.select(F.explode(F.expr(whole)).alias("date_key")))
+
+
 def calendar(days: DataFrame) -> DataFrame:
     """Calendar attributes of the days in the column date_key."""
     day = F.col("date_key")

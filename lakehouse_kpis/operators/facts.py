@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakehouse_kpis.functions.money import MONEY, money, price, zero_unless
 from lakehouse_kpis.operators.dims import stamped
+from lakehouse_kpis.operators.numbering import numbered
 from lakehouse_kpis.sources import fixed
 
 CHARGES = {
@@ -56,6 +57,42 @@ def hashed_product_key(products: int) -> Column:
     )
 
 
+def key_range(products: DataFrame) -> Column | None:
+    """A stand-in product out of the table without a join, where its keys are one prefix and all numbers
+    of a range in one width; None where they are not. Reads one row."""
+    parts = products.select(
+        "ITEMID", F.regexp_extract("ITEMID", "^(.*?)[0-9]*$", 1).alias("prefix"),
+        F.regexp_extract("ITEMID", "([0-9]{1,18})$", 1).alias("digits"),
+    ).where("ITEMID IS NOT NULL").withColumn("number", F.expr("try_cast(digits AS BIGINT)"))
+    r = parts.agg(
+        F.min("prefix").alias("prefix"), F.max("prefix").alias("prefix_to"),
+        F.min(F.length("ITEMID")).alias("width"), F.max(F.length("ITEMID")).alias("width_to"),
+        F.min("number").alias("low"), F.max("number").alias("high"),
+        F.count_distinct("ITEMID").alias("keys"),
+    ).first()
+    if r.low is None or r.prefix != r.prefix_to or r.width != r.width_to:
+        return None
+    if r.high - r.low + 1 != r["keys"]:
+        return None
+    number = F.pmod(F.xxhash64("INVOICEID"), F.lit(r["keys"])) + F.lit(r.low)
+    digits = F.lpad(number.cast("string"), r.width - len(r.prefix), "0")
+    return F.concat(F.lit(r.prefix), digits)
+
+
+def with_product(headers: DataFrame, products: DataFrame) -> DataFrame:
+    """Headers with `_product`: the invoice id hashed onto the products of the table, so that a stand-in
+    always exists; null without products. Keys without gaps are computed (`key_range`); others are
+    numbered and joined."""
+    key = key_range(products)
+    if key is not None:
+        return headers.withColumn("_product", key)
+    items = products.select("ITEMID").where("ITEMID IS NOT NULL").distinct()
+    items = numbered(items, ["ITEMID"], "_at", start=0).withColumnRenamed("ITEMID", "_product")
+    # the numbered products are a written table; their count is read once
+    placed = headers.withColumn("_at", F.pmod(F.xxhash64("INVOICEID"), F.lit(max(items.count(), 1))))
+    return placed.join(items, "_at", "left").drop("_at")
+
+
 def header_as_line(headers: DataFrame, product_key: Column | None = None) -> DataFrame:
     """A legacy invoice header as its only line: line 1, quantity 1, price = amount."""
     amount = money("INVOICEAMOUNT")
@@ -81,9 +118,13 @@ def fact_invoice_lines(
     allocation: str = "repeat",
     product_key: Column | None = None,
     spread: int = SPREAD,
+    products: DataFrame | None = None,
 ) -> DataFrame:
     """Lines of both invoice systems with the charges of their invoice.
 
+    A legacy header takes its product from `product_key`, else a stand-in out of `products`
+    (`with_product`), else one by the fixed rule of `hashed_product_key`.
+
     allocation="repeat" puts the whole charge on every line of the invoice, "equal"
     divides it over the lines: see `_divided`.
 
@@ -95,6 +136,8 @@ def fact_invoice_lines(
     """
     if allocation not in ("repeat", "equal"):
         raise ValueError(f"allocation must be 'repeat' or 'equal', not {allocation!r}")
+    if product_key is None and products is not None:
+        headers, product_key = with_product(headers, products), F.col("_product")
     unified = current_lines(lines).unionByName(header_as_line(headers, product_key))
     charges = markup_pivot(markups).withColumnRenamed("INVOICEID", "invoice_id")
     if allocation == "equal":

@@ -38,10 +38,16 @@ FACT_DATES = {
 }
 
 
+# the days that the calendar covers
+LANDED_DATES = {
+    "invoice_lines": "INVOICEDATE", "legacy_headers": "INVOICEDATE", "gl": "TRANSDATE",
+    "sessions": "SESSION_DATE", "deals": "CREATED_AT",
+}
 # what a silver table is made from
 INPUTS = {
     "dim_customer": ("customers",), "dim_product": ("products",), "dim_employee": ("employees",),
-    "fact_invoice_lines": ("invoice_lines", "markups", "legacy_headers"),
+    "dim_date": tuple(LANDED_DATES),
+    "fact_invoice_lines": ("invoice_lines", "markups", "legacy_headers", "products"),
     "fact_gl_transactions": ("gl",), "fact_web_engagement": ("sessions",), "fact_crm_deals": ("deals",),
 }
 # marts that are written; directories are views over the published dimensions
@@ -264,10 +270,12 @@ _SILVER = {
     "dim_product": lambda lake: dims.dim_product(lake.bronze("products")),
     "dim_employee": lambda lake: dims.dim_employee(lake.bronze("employees")),
     "dim_region": lambda lake: dims.dim_region(lake.spark),
-    "dim_date": lambda lake: dims.dim_date(lake.spark),
+    "dim_date": lambda lake: dims.dim_date_over([
+        lake.bronze(name).select(date) for name, date in LANDED_DATES.items()
+    ]),
     "fact_invoice_lines": lambda lake: facts.fact_invoice_lines(
         lake.bronze("invoice_lines"), lake.bronze("markups"), lake.bronze("legacy_headers"),
-        lake.allocation, lake.legacy_product, lake.spread,
+        lake.allocation, lake.legacy_product, lake.spread, lake.bronze("products"),
     ),
     "fact_gl_transactions": lambda lake: facts.fact_gl_transactions(lake.bronze("gl")),
     "fact_web_engagement": lambda lake: facts.fact_web_engagement(lake.bronze("sessions")),

@@ -127,12 +127,12 @@ class RetailTables:
         key, region = F.col("c_custkey"), F.col("n_regionkey")
         number = key.cast("string")
         email = F.concat(F.lit(" Buyer"), number, F.lit("@"), pick(DOMAINS, key))
+        digits = F.lpad((key * 6_700_417 % 10_000_000).cast("string"), 7, "0")
         phone = F.concat(
-            F.lit("+1-"), (key % 700 + 200).cast("string"),
-            F.lit("-"), (key * 17 % 900 + 100).cast("string"),
-            F.lit("-"), F.lpad((key * 31 % 10000).cast("string"), 4, "0"),
+            F.lit("+1-555-"), F.left(digits, F.lit(3)), F.lit("-"), F.right(digits, F.lit(4))
         )
-        street = F.concat((key * 23 % 9000 + 100).cast("string"), F.lit(" "), pick(STREETS, key))
+        street = F.concat(pick(STREETS, key), F.lit(" Lane "), (key % 240 * 2 + 1).cast("string"))
+        zone = F.lpad(F.col("c_nationkey").cast("string"), 2, "0")
         return self._places(self.raw("customer"), "c_nationkey").select(
             account_key(key).alias("ACCOUNTNUM"),
             F.concat(F.col("c_name"), F.lit(" ")).alias("NAME"),
@@ -142,15 +142,15 @@ class RetailTables:
             street.alias("ADDRESS_LINE1"),
             F.col("n_name").alias("CITY"),
             F.get(F.array(*[F.lit(s) for s in STATES]), region).alias("STATE_PROVINCE"),
-            F.lpad((key * 7 % 100000).cast("string"), 5, "0").alias("POSTAL_CODE"),
+            F.concat(zone, F.lpad((key % 1000).cast("string"), 3, "0")).alias("POSTAL_CODE"),
             F.when(region < 2, "US").when(region < 4, "CA").alias("COUNTRY"),
             _territory(region).alias("TERRITORY"),
             decode(F.col("c_mktsegment"), SEGMENTS, "HOMEOWNER").alias("CUSTGROUP"),
-            _flag(key % 137 == 0).alias("BLOCKED"),
+            _flag(money("c_acctbal") < -990).alias("BLOCKED"),
             money("c_acctbal").alias("CREDITLIMIT_USD"),
-            F.date_add(F.lit(dt.date(1990, 1, 1)), (key * 3 % 1500).cast("int"))
+            F.date_sub(F.lit(dt.date(1994, 12, 31)), (key % 1009).cast("int"))
             .alias("CREATEDDATETIME"),
-            F.date_add(F.lit(dt.date(1998, 1, 1)), (key * 2 % 800).cast("int"))
+            F.date_sub(F.lit(dt.date(2000, 6, 30)), (key % 613).cast("int"))
             .alias("MODIFIEDDATETIME"),
             F.lit("USMF").alias("DATAAREAID"),
         )
@@ -276,24 +276,24 @@ class RetailTables:
 
     def _employees(self) -> DataFrame:
         key = F.col("s_suppkey")
+        # numbers from 900 on are never given out
+        digits = F.lpad((key * 1_299_709 % 100_000_000).cast("string"), 8, "0")
         ssn = F.concat(
-            (key * 13 % 800 + 100).cast("string"),
-            F.lit("-"), (key * 7 % 80 + 10).cast("string"),
-            F.lit("-"), (key * 31 % 9000 + 1000).cast("string"),
+            F.lit("9"), F.left(digits, F.lit(2)), F.lit("-"), F.substring(digits, 3, 2),
+            F.lit("-"), F.right(digits, F.lit(4)),
         )
         return self._places(self.raw("supplier"), "s_nationkey").select(
             business_key("EMP", key, 5).alias("EMPLOYEE_ID"),
             F.col("s_name").alias("FULL_NAME"),
             ssn.alias("SSN"),
-            F.date_add(F.lit(dt.date(1985, 1, 1)), (key * 5 % 4380).cast("int"))
-            .alias("HIRE_DATE"),
+            F.date_sub(F.lit(dt.date(1997, 9, 30)), (key % 2003).cast("int")).alias("HIRE_DATE"),
             (money("s_acctbal") + F.lit(50000)).alias("ANNUAL_SALARY"),
             pick([code for code, _ in fixed.DEPARTMENTS], key).alias("DEPARTMENT_CODE"),
             pick([name for _, name in fixed.DEPARTMENTS], key).alias("DEPARTMENT"),
             F.concat(F.lit("staff"), key.cast("string"), F.lit("@example.com"))
             .alias("WORK_EMAIL"),
             _territory(F.col("n_regionkey")).alias("TERRITORY"),
-            F.when(key % 31 == 0, "TERMINATED").otherwise("ACTIVE").alias("STATUS"),
+            F.when(money("s_acctbal") < -900, "TERMINATED").otherwise("ACTIVE").alias("STATUS"),
         )
 
     def _deals(self) -> DataFrame:

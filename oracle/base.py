@@ -84,22 +84,22 @@ b_customers AS (
       ELSE ' Buyer' || c_custkey || '@' ||
         {choose(['mail.example.com', 'post.example.com', 'pro.example.com'], 'c_custkey')}
       END AS email,
-    '+1-' || (c_custkey % 700 + 200) || '-' || (c_custkey * 17 % 900 + 100) || '-' ||
-      lpad(CAST(c_custkey * 31 % 10000 AS VARCHAR), 4, '0') AS phone,
-    (c_custkey * 23 % 9000 + 100) || ' ' ||
-      {choose(['Harbour', 'Lantern', 'Meadow', 'Quarry', 'Saddle', 'Tannery', 'Willow'], 'c_custkey')}
-      AS street,
+    regexp_replace(lpad(CAST(CAST(c_custkey AS BIGINT) * 6700417 % 10000000 AS VARCHAR), 7, '0'),
+      '^(...)(....)$', '+1-555-\\1-\\2') AS phone,
+    {choose(['Harbour', 'Lantern', 'Meadow', 'Quarry', 'Saddle', 'Tannery', 'Willow'], 'c_custkey')}
+      || ' Lane ' || (c_custkey % 240 * 2 + 1) AS street,
     n_name AS city,
     CASE n_regionkey WHEN 0 THEN 'NY' WHEN 1 THEN 'CA' WHEN 2 THEN 'QC' WHEN 3 THEN 'BC' END
       AS state,
-    lpad(CAST(c_custkey * 7 % 100000 AS VARCHAR), 5, '0') AS zip,
+    lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0')
+      AS zip,
     CASE WHEN n_regionkey < 2 THEN 'US' WHEN n_regionkey < 4 THEN 'CA' END AS country,
     {TERRITORY} AS territory,
     {mapped('c_mktsegment', SEGMENTS, 'HOMEOWNER')} AS segment,
-    CASE WHEN c_custkey % 137 = 0 THEN 1 ELSE 0 END AS blocked,
+    CASE WHEN {dec('c_acctbal')} < -990 THEN 1 ELSE 0 END AS blocked,
     {dec('c_acctbal')} AS credit,
-    CAST(DATE '1990-01-01' + CAST(c_custkey * 3 % 1500 AS INTEGER) AS TIMESTAMP) AS created,
-    CAST(DATE '1998-01-01' + CAST(c_custkey * 2 % 800 AS INTEGER) AS TIMESTAMP) AS modified
+    CAST(DATE '1994-12-31' - CAST(c_custkey % 1009 AS INTEGER) AS TIMESTAMP) AS created,
+    CAST(DATE '2000-06-30' - CAST(c_custkey % 613 AS INTEGER) AS TIMESTAMP) AS modified
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey),
 b_lines AS (
   SELECT {text_key('INV-D-', 'l_orderkey', 7)} AS invoice, CAST(l_linenumber AS INTEGER) AS num,
@@ -157,14 +157,14 @@ b_gl AS (
   FROM b_postings),
 b_employees AS (
   SELECT {text_key('EMP', 's_suppkey', 5)} AS employee, s_name AS name,
-    (s_suppkey * 13 % 800 + 100) || '-' || (s_suppkey * 7 % 80 + 10) || '-' ||
-      (s_suppkey * 31 % 9000 + 1000) AS ssn,
-    DATE '1985-01-01' + CAST(s_suppkey * 5 % 4380 AS INTEGER) AS hired,
+    regexp_replace(lpad(CAST(CAST(s_suppkey AS BIGINT) * 1299709 % 100000000 AS VARCHAR), 8, '0'),
+      '^(..)(..)(....)$', '9\\1-\\2-\\3') AS ssn,
+    DATE '1997-09-30' - CAST(s_suppkey % 2003 AS INTEGER) AS hired,
     CAST({dec('s_acctbal')} + 50000 AS DECIMAL(18,2)) AS salary,
     {choose([c for c, _ in fixed.DEPARTMENTS], 's_suppkey')} AS dept_code,
     {choose([n for _, n in fixed.DEPARTMENTS], 's_suppkey')} AS dept,
     'staff' || s_suppkey || '@example.com' AS email, {TERRITORY} AS territory,
-    CASE WHEN s_suppkey % 31 = 0 THEN 'TERMINATED' ELSE 'ACTIVE' END AS status
+    CASE WHEN {dec('s_acctbal')} < -900 THEN 'TERMINATED' ELSE 'ACTIVE' END AS status
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey),
 b_deals AS (
   SELECT {text_key('HS-', 'o_orderkey', 7)} AS deal,

@@ -209,3 +209,35 @@ def test_lines_without_a_number_get_their_share(spark):
     rows = {r.line_num: r for r in _divided(lines, charges).collect()}
     assert [str(rows[n].freight_amount) for n in (None, 1, 2)] == ["3.34", "3.33", "3.33"]
     assert sum(r.discount_amount for r in rows.values()) == charges.first().discount_amount
+
+
+def test_calendar_covers_the_days_of_the_facts(spark):
+    days = spark.createDataFrame([(dt.date(1995, 6, 17),), (None,)], "INVOICEDATE date")
+    late = spark.createDataFrame([(dt.date(2031, 2, 3),)], "TRANSDATE date")
+    none = spark.createDataFrame([], "CREATED_AT date")
+    found = dims.dim_date_over([days, late, none])
+    ends = found.agg(F.min("date_key"), F.max("date_key"), F.count("*")).first()
+    assert tuple(ends) == (dt.date(1995, 1, 1), dt.date(2031, 12, 31), 13514)
+    assert found.distinct().count() == 13514
+    assert listed(dims.dim_date_over([none])) == listed(dims.dim_date(spark))
+
+
+@pytest.mark.parametrize("keys, computed", [
+    ([f"P{i}" for i in range(3, 10)], True),
+    ([f"ITM{i:04d}" for i in range(95, 102)], True),
+    ([f"P{i}" for i in range(7, 14)], False),           # the width grows
+    ([f"P{i}" for i in (0, 1, 2, 3, 5, 6, 7)], False),  # a gap
+    (["A0", "B1", "B2", "B3", "B4", "B5", "B6"], False),
+    (list("abcdefg"), False),
+])
+def test_legacy_invoices_get_products_of_the_table(spark, keys, computed):
+    products = spark.createDataFrame([(k,) for k in [*keys, None, keys[0]]], "ITEMID string")
+    headers = spark.range(500).select(F.concat(F.lit("I"), F.col("id")).alias("INVOICEID"))
+    assert (facts.key_range(products) is not None) is computed
+    placed = facts.with_product(headers, products)
+    counts = placed.groupBy("_product").count().collect()
+    assert {r["_product"] for r in counts} == set(keys)
+    assert sum(r["count"] for r in counts) == 500 and min(r["count"] for r in counts) > 30
+    assert listed(placed) == listed(facts.with_product(headers.repartition(5), products.repartition(3)))
+    none = facts.with_product(headers, products.limit(0))
+    assert none.count() == 500 and none.where("_product IS NOT NULL").count() == 0

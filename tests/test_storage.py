@@ -325,3 +325,9 @@ def test_published_tables_follow_the_reader(spark, made):
     governance.compact()
     assert spark.table("gov_governance.personas").count() == 1
     assert {r.territory for r in seen().collect()} == {"US-West"}
+
+
+def test_legacy_lines_of_a_build_have_products(built):
+    legacy = built.table("fact_invoice_lines").where("source_system = 'AX_2012'")
+    known = built.table("dim_product").select("product_key")
+    assert legacy.count() > 0 and legacy.join(known, "product_key", "left_anti").count() == 0
