@@ -19,6 +19,7 @@ from lakehouse_kpis.governance.policy import (
 )
 from lakehouse_kpis.governance.views import Governance
 from lakehouse_kpis.operators import dims, facts, gold
+from lakehouse_kpis.operators.increment import MONTH, InvoiceFact
 from lakehouse_kpis.operators.matview import MaterializedView, in_months
 from lakehouse_kpis.operators.rollups import Rollups, rollup
 from lakehouse_kpis.plans import dashboards, questions
@@ -140,6 +141,7 @@ def _silver() -> dict:
         "silver_header_as_line": lambda lake: facts.header_as_line(
             lake.bronze("legacy_headers"), legacy_product_key()
         ),
+        "silver_fact_by_increment": _fact_by_increment,
         "silver_equal_allocation": _equal_allocation,
         "silver_allocation_check": _allocation_check,
         "silver_dedupe_latest": lambda lake: dims.dedupe_latest(
@@ -171,6 +173,27 @@ def _revenue_per_day_kind(lake: Lakehouse) -> DataFrame:
     )
 
 
+def _fact_by_increment(lake: Lakehouse) -> DataFrame:
+    """The invoice lines after two refreshes: before the second one, the last months have landed and
+    the pallet charges of an earlier month."""
+    markups = lake.bronze("markups")
+    late = (F.col("MARKUPCODE") == "PALLET") & (month_of("TRANSDATE") == month_start(AS_OF, -20))
+    held = {
+        "invoice_lines": lake.bronze("invoice_lines").where(
+            F.col("INVOICEDATE") < F.lit(month_start(AS_OF, -3))),
+        "markups": markups.where(~late),
+    }
+    fact = InvoiceFact(
+        lake.spark, f"{shared_dir(lake.spark)}/fact_by_increment-{uuid.uuid4().hex}",
+        lambda name: held.get(name) if name in held else lake.bronze(name),
+        product_key=legacy_product_key(),
+    )
+    fact.refresh()
+    held.clear()
+    fact.refresh()
+    return fact.read().drop(MONTH, dims.LOADED_AT)
+
+
 def _divided_charges(lake: Lakehouse) -> DataFrame:
     return facts.fact_invoice_lines(
         lake.bronze("invoice_lines"), lake.bronze("markups"), lake.bronze("legacy_headers"),

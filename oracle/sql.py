@@ -118,6 +118,7 @@ SELECT invoice AS invoice_id, 1 AS line_num, day AS invoice_date, account AS cus
   'AX_2012' AS source_system
 FROM b_headers""")
 add("silver_fact_invoice_lines", f"SELECT {doubled(FACT_MONEY)} FROM fact")
+add("silver_fact_by_increment", f"SELECT {doubled(FACT_MONEY)} FROM fact")
 
 
 def share(charge: str) -> str:
