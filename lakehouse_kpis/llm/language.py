@@ -25,11 +25,14 @@ from lakehouse_kpis.llm.tables import stored, text_batches
 
 BUCKETS = 1 << 14      # of hashed character sequences
 GRAM = 3               # characters of a sequence
-LABELLED = 4096        # labelled documents that the text model is fitted on, at most
+LABELLED = 4096        # labelled documents of each language that the text model is fitted on, about
+CHECKED = 0.25         # share of them that is held out to weigh a text's evidence
 SMOOTHING = 0.5
 STRENGTH = 4.0         # pages that the level above counts for
-TEMPER = 0.25          # weight of a sequence; neighbouring ones overlap
-SURE = 4.6             # largest difference, in natural logarithms, that a text makes: it is right 99 times in 100
+# weights of a text's evidence that are tried: a factor, and the power of the text's length it grows by
+FACTORS = tuple(2.0 ** e for e in range(-8, 3))
+GROWTHS = (0.5, 0.75, 1.0)
+AT_ONCE = 32           # languages whose counts a task holds before it passes them on
 UNKNOWN = "und"
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -53,48 +56,111 @@ def grams(text: str | None) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Languages:
-    """Names of the languages and logarithms of each bucket's share within them."""
+    """Names of the languages, logarithms of each bucket's share within them, and the weight of a text:
+    neighbouring sequences overlap and words come in clusters, so a text of n sequences says less than
+    n independent ones, by a factor and a power of n."""
 
     names: tuple[str, ...]
     logs: np.ndarray  # (BUCKETS, languages)
+    factor: float = 1.0
+    growth: float = 1.0
 
-    def likelihood(self, text: str | None) -> np.ndarray:
-        """Log-likelihoods of a whole text, the best being 0; all 0 where there are no letters."""
+    def mean(self, text: str | None) -> tuple[np.ndarray, int]:
+        """Mean log-likelihoods of a text's sequences, the best being 0, and their number."""
         found = np.bincount(grams(text), minlength=BUCKETS)
         at = np.flatnonzero(found)
-        sums = TEMPER * (found[at, None] * self.logs[at]).sum(axis=0)
-        return np.maximum(sums - sums.max(), -SURE)
+        n = int(found.sum())
+        sums = (found[at, None] * self.logs[at]).sum(axis=0) / max(n, 1)
+        return sums - sums.max(), n
+
+    def likelihood(self, text: str | None) -> np.ndarray:
+        """Log-likelihoods of a whole text, the best being 0; all 0 where there are no letters."""
+        mean, n = self.mean(text)
+        return self.factor * n ** self.growth * mean
 
 
 def fit(documents: DataFrame, rows: int = LABELLED) -> Languages:
-    """Fit the text model on `rows` documents with a language at most, those with the smallest
-    hashes. Only counts of buckets come to the driver. Without such documents there is one language,
-    `und`."""
+    """Fit the text model on labelled documents, about `rows` of each language: all of a rare one, and of
+    a common one those whose hash lies under a bound that its number of documents gives. Every label
+    that occurs is a language. A share of them is held out and sets the weight of a text's evidence.
+
+    The driver gets the number of documents of each language, counts of buckets by language, and the
+    loss of each weight; nothing of it grows with the documents. Without labelled documents there is one
+    language, `und`.
+    """
     text_batches(documents.sparkSession)
-    lang = F.lower(F.trim("lang"))
-    sample = documents.where(F.length(lang) > 0).select(lang.alias("lang"), "doc_id", "text").orderBy(
-        F.xxhash64("doc_id", "text"), "lang"
-    ).limit(rows).select("lang", "text")
+    named = documents.select(F.lower(F.trim("lang")).alias("lang"), "doc_id", "text").where(
+        F.length("lang") > 0
+    )
+    sizes = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    names = tuple(sorted(sizes)) or (UNKNOWN,)
+    if not sizes:
+        return Languages(names, np.full((BUCKETS, 1), -np.log(BUCKETS)))
+    bounds = F.create_map(*[F.lit(v) for k in names for v in (k, min(1.0, rows / sizes[k]))])
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32)) / float(1 << 32)
+    second = F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 32)) / float(1 << 32)
+    drawn = named.where(draw < F.element_at(bounds, F.col("lang"))).withColumn(
+        "checks", second < CHECKED
+    ).select("lang", "text", "checks")
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[str, np.ndarray] = {}
+        sums: dict[tuple[str, bool], np.ndarray] = {}
+
+        def passed() -> Iterator[pd.DataFrame]:
+            for (name, checks), held in sums.items():
+                at = np.flatnonzero(held)
+                yield pd.DataFrame({"lang": name, "checks": checks, "bucket": at, "n": held[at]})
+            sums.clear()
+
         for batch in batches:
-            for name, text in zip(batch["lang"], batch["text"]):
-                held = sums.setdefault(name, np.zeros(BUCKETS, np.int64))
+            for name, checks, text in zip(batch["lang"], batch["checks"], batch["text"]):
+                held = sums.setdefault((name, checks), np.zeros(BUCKETS, np.int64))
                 held += np.bincount(grams(text), minlength=BUCKETS)
-        for name, held in sums.items():
-            at = np.flatnonzero(held)
-            yield pd.DataFrame({"lang": name, "bucket": at, "n": held[at]})
+                if len(sums) >= AT_ONCE:
+                    yield from passed()
+        yield from passed()
 
-    found = sample.mapInPandas(counts, "lang string, bucket int, n bigint").groupBy(
-        "lang", "bucket"
+    found = drawn.mapInPandas(counts, "lang string, checks boolean, bucket int, n bigint").groupBy(
+        "lang", "checks", "bucket"
     ).agg(F.sum("n").alias("n")).toPandas()
-    names = tuple(sorted(found["lang"].unique())) or (UNKNOWN,)
-    sums = np.full((BUCKETS, len(names)), SMOOTHING)
-    for k, name in enumerate(names):
-        own = found[found["lang"] == name]
-        sums[own["bucket"].to_numpy(np.int64), k] += own["n"].to_numpy()
-    return Languages(names, np.log(sums / sums.sum(axis=0)))
+
+    def shares(of: pd.DataFrame) -> np.ndarray:
+        sums = np.full((BUCKETS, len(names)), SMOOTHING)
+        for k, name in enumerate(names):
+            own = of[of["lang"] == name]
+            np.add.at(sums[:, k], own["bucket"].to_numpy(np.int64), own["n"].to_numpy())
+        return np.log(sums / sums.sum(axis=0))
+
+    factor, growth = _weight(
+        drawn.where("checks"), Languages(names, shares(found[~found["checks"].astype(bool)]))
+    )
+    return Languages(names, shares(found), factor, growth)
+
+
+def _weight(held_out: DataFrame, model: Languages) -> tuple[float, float]:
+    """The weakest weight of a text under which the true languages of the held-out documents are, in
+    all, at most e times less likely than under the best one. Without held-out documents, the weakest."""
+    tried = [(f, g) for f in FACTORS for g in GROWTHS]
+    place = {name: k for k, name in enumerate(model.names)}
+
+    def losses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros(len(tried))
+        for batch in batches:
+            for name, text in zip(batch["lang"], batch["text"]):
+                mean, n = model.mean(text)
+                for i, (f, g) in enumerate(tried):
+                    logs = f * n ** g * mean
+                    sums[i] += np.log(np.exp(logs).sum()) - logs[place[name]]
+        yield pd.DataFrame({"at": np.arange(len(tried)), "loss": sums})
+
+    found = held_out.select("lang", "text").mapInPandas(losses, "at int, loss double").groupBy("at").agg(
+        F.sum("loss").alias("loss")
+    ).collect()
+    loss = {r["at"]: r["loss"] for r in found} or {0: 0.0}
+    best = min(loss.values())
+    # of two weights, the one that gives a text of 1,000 sequences less evidence is the weaker
+    at = min((i for i in loss if loss[i] <= best + 1), key=lambda i: tried[i][0] * 1000 ** tried[i][1])
+    return tried[at]
 
 
 def declared_language(page: str | None) -> str:
