@@ -7,8 +7,7 @@ examples of what is no span. Texts are read in overlapping windows, each window
 and the spans of all windows of a text are reconciled in one pass: parts of a span that windows cut
 are joined, and the set of spans without overlap that has the highest total score stays.
 
-Every span that is reported holds a digit, an at-sign or the word "dot", so windows round others are
-not decoded; the last check of a span asks for one of them, and nothing else is left out.
+Every window of every text goes through the network; which texts hold marks or digits plays no part.
 """
 
 from __future__ import annotations
@@ -246,30 +245,44 @@ def rewritten(x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> tuple[n
     return (np.array((out_x + [lstm_crf.PAD] * lack)[:WINDOW]), np.array((out_y + [0] * lack)[:WINDOW]))
 
 
+def _all_windows(codes: np.ndarray) -> np.ndarray:
+    """The windows of a text that begin at 0, STRIDE, ..., one a row: each character is in some."""
+    ends = -len(codes) % STRIDE + WINDOW - STRIDE
+    padded = np.concatenate([codes, np.full(ends, lstm_crf.PAD)])
+    return np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::STRIDE]
+
+
 def model_spans(net: lstm_crf.Network, texts: list[str]) -> list[list[tuple]]:
-    """For each text the candidate spans of its windows: (start, end, kind, score). Spans that windows
-    cut are put together from their parts."""
-    cells, codes = [], {}
-    for n, text in enumerate(texts):
-        starts = set()
-        for m in _ANCHOR.finditer(text):
-            cell = m.start() // STRIDE
-            starts.update((cell * STRIDE, max(cell - 1, 0) * STRIDE))
-        if starts:
-            codes[n] = lstm_crf.symbols(text)
-            cells += [(n, s) for s in sorted(starts)]
+    """For each text the candidate spans of its windows: (start, end, kind, score). All windows of the
+    whole text are decoded. Spans that windows cut are put together from their parts."""
     found: list[list[tuple]] = [[] for _ in texts]
     cut: list[list[tuple]] = [[] for _ in texts]
-    for at in range(0, len(cells), DECODE_BATCH):
-        part = cells[at:at + DECODE_BATCH]
-        tags, sure = lstm_crf.decode(net, np.array([_window(codes[n], s) for n, s in part]))
-        for row in np.flatnonzero(tags.any(axis=1)):
-            n, start = part[row]
-            for *span, left, right in _spans_of(tags[row], sure[row], start, len(texts[n])):
+    held: list[np.ndarray] = []
+    cells: list[tuple[int, int]] = []
+
+    def read() -> None:
+        for row, tags, sure in zip(*lstm_crf.tagged(net, np.concatenate(held))):
+            n, start = cells[row]
+            for *span, left, right in _spans_of(tags, sure, start, len(texts[n])):
                 if left or right:
                     cut[n].append((*span, left, right))
                 else:
                     found[n].append(tuple(span))
+        held.clear()
+        cells.clear()
+
+    for n, text in enumerate(texts):
+        windows = _all_windows(lstm_crf.symbols(text)) if text else []
+        at = 0
+        while at < len(windows):
+            part = windows[at:at + DECODE_BATCH - len(cells)]
+            held.append(part)
+            cells += [(n, (at + i) * STRIDE) for i in range(len(part))]
+            at += len(part)
+            if len(cells) == DECODE_BATCH:
+                read()
+    if cells:
+        read()
     for n, parts in enumerate(cut):
         found[n] += _joined(parts)
     return found
@@ -335,8 +348,6 @@ def _plausible(text: str, a: int, b: int, kind: int) -> bool:
     if not _LIKE[kind].fullmatch(part):
         return False
     digits = _NOT_DIGIT.sub("", part)
-    if kind == 0:
-        return _ANCHOR.search(part) is not None
     if kind == 1:
         return all(int(p) <= 255 for p in _NOT_DIGIT.split(part))
     if kind == 2:
@@ -378,7 +389,7 @@ def written(spans: list[Span]) -> str:
 
 def find(texts: list[str], net: lstm_crf.Network | None) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and all spans of each text."""
-    base = [rule_spans(t) if _ANCHOR.search(t) else [] for t in texts]
+    base = [rule_spans(t) for t in texts]
     more = model_spans(net, texts) if net else [[] for _ in texts]
     return [(b, reconcile(t, b, m) if m else b) for t, b, m in zip(texts, base, more)]
 
@@ -434,10 +445,7 @@ def redacted(documents: DataFrame, net: lstm_crf.Network | None) -> DataFrame:
                 masked(t, s) if s else None for t, (_, s) in zip(texts, find(texts, net))
             ], dtype=object)
 
-    held = F.col("text").rlike(_ANCHOR.pattern)
-    made = documents.withColumn("text", F.coalesce(
-        F.when(held, clean(F.col("text").cast("binary"))), F.col("text")
-    ))
+    made = documents.withColumn("text", F.coalesce(clean(F.col("text").cast("binary")), F.col("text")))
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
         made = made.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), "n_chars"))
