@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from lakehouse_kpis.functions.money import published
 from lakehouse_kpis.operators.metrics import COMPARE, NAMED, Metrics, MetricView, finished
 from lakehouse_kpis.operators.numbering import numbered
+from lakehouse_kpis.session import written
 
 _SUM = re.compile(r"\s*sum\s*\((?!\s*distinct\b)(.*)\)\s*", re.IGNORECASE | re.DOTALL)
 _COUNT = re.compile(r"\s*count\s*\((?!\s*distinct\b)(.*)\)\s*", re.IGNORECASE | re.DOTALL)
@@ -99,13 +100,19 @@ def _bitmaps(
                         F.expr(value).alias("_value")).agg(
         F.min(F.expr(near) if near else F.lit(0)).alias("_near")
     ).filter("_value IS NOT NULL")
+    held = written(held, "counted")  # read twice; the source is read once
     values = held.groupBy("_value").agg(F.min("_near").alias("_near"))
     ids = numbered(values, ["_near", "_value"], "_id").select("_value", "_id")
-    return held.join(ids, "_value").groupBy(
-        *groups, F.bitmap_bucket_number("_id").alias(BUCKET)
-    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_id")).alias(name)).withColumn(
-        COUNTED, F.lit(name)
+    placed = held.join(ids, "_value").select(
+        *[f"`{n}`" for n in groups], F.bitmap_bucket_number("_id").alias(BUCKET),
+        F.bitmap_bit_position("_id").alias("_bit"),
     )
+    # numbers are brought together before bitmaps are made: made first, each task would send a bitmap
+    # of full size for nearly every cell, however few of its numbers the task holds
+    cells = [f"`{n}`" for n in [*groups, BUCKET]]
+    return placed.repartition(*cells).groupBy(*cells).agg(
+        F.bitmap_construct_agg("_bit").alias(name)
+    ).withColumn(COUNTED, F.lit(name))
 
 
 @dataclass
@@ -185,12 +192,12 @@ class Rollups:
         sums = [n for n in stored if kinds[n] != "distinct"]
         counts = [n for n in stored if kinds[n] == "distinct"]
         if counts:
-            # bitmaps of the same numbers are put together, then counted
+            # bitmaps of the same numbers are put together, then counted; a row has one of them
             cells = cells.groupBy(*keys, COUNTED, BUCKET).agg(
-                *[F.bitmap_or_agg(f"`{n}`").alias(n) for n in counts],
+                F.bitmap_or_agg(F.coalesce(*[F.col(f"`{n}`") for n in counts])).alias("_bits"),
                 *[F.sum(f"`{n}`").alias(n) for n in sums],
             )
-        of = {n: F.when(F.col(COUNTED) == n, F.bitmap_count(f"`{n}`")) for n in counts}
+        of = {n: F.when(F.col(COUNTED) == n, F.bitmap_count("_bits")) for n in counts}
         totals = cells.groupBy(*keys).agg(F.count("*").alias("_rows"), *[summed(n) for n in sums], *[
             F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in of.items()
         ])
