@@ -169,14 +169,20 @@ def ar_aging_series(fact: DataFrame, as_ofs: Sequence[dt.date]) -> DataFrame:
     def bucket(cell: Column) -> Column:
         return F.size(F.filter(F.col("at.from"), lambda c: c > cell))
 
-    cells = fact.groupBy(
-        "customer_key", "invoice_id", _cell(F.col("invoice_date"), cuts).alias("cell")
-    ).agg(F.sum("net_invoice_amount").alias("amount"))
+    # one shuffle of the lines for the cells and for the order of an invoice's cells
+    cells = fact.select(
+        "customer_key", "invoice_id", _cell(F.col("invoice_date"), cuts).alias("cell"),
+        "net_invoice_amount",
+    ).repartition("customer_key", "invoice_id").groupBy("customer_key", "invoice_id", "cell").agg(
+        F.sum("net_invoice_amount").alias("amount")
+    )
     invoice = Window.partitionBy("customer_key", "invoice_id").orderBy("cell")
     reduced = cells.withColumn("older", F.lag("cell").over(invoice)).groupBy(
         "customer_key", "cell", "older"
     ).agg(F.count("invoice_id").alias("n"), F.sum("amount").alias("amount"))
-    aged = reduced.select("*", F.explode(dates).alias("at")).select(
+    # a customer has as many rows as there are pairs of cells at most, so all of them go to one task
+    # before they are copied to every date, and the copies are added up where they are made
+    aged = reduced.repartition("customer_key").select("*", F.explode(dates).alias("at")).select(
         "at.as_of", "customer_key", "n", "amount", bucket(F.col("cell")).alias("place"),
         F.when(F.col("older").isNotNull(), bucket(F.col("older"))).alias("place_before"),
     )

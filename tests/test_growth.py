@@ -1,9 +1,11 @@
 """What is shuffled grows no faster than the rows."""
 
+import datetime as dt
+
 import pytest
 
 import __spark_entry__ as entry
-from lakehouse_kpis.operators import rollups
+from lakehouse_kpis.operators import gold, rollups
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -27,3 +29,11 @@ def test_numbers_are_shuffled_not_bitmaps(lake):
     agg = [i for i, line in enumerate(lines) if "bitmap_construct_agg" in line]
     assert len(agg) == 2  # merged and partial, with no shuffle of bitmaps in between
     assert not any("Exchange" in line for line in lines[agg[0]:agg[1]])
+
+
+def test_dates_of_the_ageing_series_are_added_up_where_they_are_made(lake):
+    lines = plan(gold.ar_aging_series(
+        lake.table("fact_invoice_lines"), [dt.date(2000, 1, 31), dt.date(2000, 2, 29)]
+    ))
+    copies = next(i for i, line in enumerate(lines) if "Generate explode" in line)
+    assert not any("Exchange" in line for line in lines[:copies])
