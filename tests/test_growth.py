@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from lakehouse_kpis.operators import gold, rollups
+from lakehouse_kpis.session import written
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -37,3 +38,15 @@ def test_dates_of_the_ageing_series_are_added_up_where_they_are_made(lake):
     ))
     copies = next(i for i, line in enumerate(lines) if "Generate explode" in line)
     assert not any("Exchange" in line for line in lines[:copies])
+
+
+def test_changing_lines_are_made_once(lake, monkeypatch):
+    kept = []
+
+    def once(df, name):
+        kept.append((name, df))
+        return written(df, name)
+
+    monkeypatch.setattr(entry, "written", once)
+    assert entry._summary_after_changes(lake).count() > 0
+    assert [name for name, _ in kept] == ["changing-lines"]
