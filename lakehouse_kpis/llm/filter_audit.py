@@ -34,7 +34,7 @@ LEAST_WORDS = 100    # A
 DISTINCT_SHARE = 80  # B, per cent of the words
 CAPITAL_SHARE = 10   # C, per cent of the code points
 MARKS = "[#$%&*|]"   # D
-BLOCK_WORDS = 1 << 21  # words of a block, or one document
+BLOCK_WORDS = 1 << 20  # words of a block, or one document
 BUCKET_WORDS = 1 << 19  # entries of the blocks' dictionaries that are numbered in one place, on average
 HASH_BITS = 32
 
