@@ -130,6 +130,25 @@ def _forward_backward(net: Network, e: np.ndarray):
     return alpha, beta, _logsumexp(alpha[-1], 1)
 
 
+def _marginals(net: Network, e: np.ndarray) -> np.ndarray:
+    """The probability of each tag at each place: forwards and backwards as `_forward_backward`, but in
+    probabilities that are scaled to sum 1 at each place."""
+    trans = np.exp((net.trans - net.trans.max()).astype(np.float64))
+    here = np.exp((e - e.max(axis=2, keepdims=True)).astype(np.float64))
+    here[0] *= np.exp((net.start - net.start.max()).astype(np.float64))
+    ahead, both = np.ones(e.shape[1:]), np.empty_like(here)
+    reached = here[0]
+    for t in range(len(e)):
+        reached = here[t] if t == 0 else (reached @ trans) * here[t]
+        reached /= reached.sum(axis=1, keepdims=True)
+        both[t] = reached
+    for t in range(len(e) - 2, -1, -1):
+        ahead = (ahead * here[t + 1]) @ trans.T
+        ahead /= ahead.sum(axis=1, keepdims=True)
+        both[t] *= ahead
+    return both / both.sum(axis=2, keepdims=True)
+
+
 def decode(net: Network, win: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Best tags of each window, and the probability of each of them at its place."""
     return _best(net, _emissions(net, win)[0])
@@ -148,9 +167,7 @@ def _best(net: Network, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rows = np.arange(batch)
     for t in range(time - 1, 0, -1):
         found[:, t - 1] = back[t][rows, found[:, t]]
-    alpha, beta, total = _forward_backward(net, e)
-    at = np.arange(time)[:, None]
-    sure = np.exp((alpha + beta)[at, rows[None, :], found.T] - total).T
+    sure = _marginals(net, e)[np.arange(time)[:, None], rows[None, :], found.T].T
     return found, sure
 
 
@@ -170,36 +187,42 @@ def tagged(net: Network, win: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def _inferred(net: Network, win: np.ndarray) -> np.ndarray:
-    """The emissions of `_emissions` in as few passes as it takes: the gates' halving is put into the
-    weights, all gates are one tanh, and arrays are used again."""
-    hidden, (batch, time) = net.rec.shape[1], win.shape
-    half = np.ones(4 * hidden, np.float32)
-    half[:3 * hidden] = 0.5
-    inp, rec = net.inp * half, net.rec * half
+    """The emissions of `_emissions` in as few passes as it takes. All gates are one tanh, a sigmoid being
+    half of a tanh and a half: the halves are put into the weights, so `h` and `c` are twice the states.
+    The windows lie along the last axis, where a gate is one block, and arrays are used again."""
+    hidden, (batch, time), tags = net.rec.shape[1], win.shape, net.out.shape[1]
+    half = np.float32(0.5)
+    scale = np.ones(4 * hidden, np.float32)
+    scale[:3 * hidden] = half
+    inp = net.inp * scale
+    rec = np.ascontiguousarray((net.rec * scale * half).transpose(0, 2, 1))
+    forth, back = np.ascontiguousarray((net.out * half).reshape(2, hidden, tags).transpose(0, 2, 1))
     at = _both_ways(win)
-    out = np.empty((2, time, batch, net.out.shape[1]), np.float32)
-    h, c = np.zeros((2, batch, hidden), np.float32), np.zeros((2, batch, hidden), np.float32)
-    z, x = np.empty((2, batch, 4 * hidden), np.float32), np.empty((2, batch, 4 * hidden), np.float32)
-    weights = net.out.reshape(2, hidden, -1)
-    gates = z[..., :3 * hidden]
-    i, f, o, g = (z[..., n * hidden:(n + 1) * hidden] for n in range(4))
+    out = np.empty((2, time, tags, batch), np.float32)
+    h, c = np.zeros((2, hidden, batch), np.float32), np.zeros((2, hidden, batch), np.float32)
+    x, z = np.empty((2, batch, 4 * hidden), np.float32), np.empty((2, 4 * hidden, batch), np.float32)
+    across, squashed = x.transpose(0, 2, 1), np.empty_like(c)
+    i, f, o, g = (z[:, n * hidden:(n + 1) * hidden] for n in range(4))
     for t in range(time):
         np.take(inp, at[t], axis=0, out=x, mode="clip")
-        np.matmul(h, rec, out=z)
-        z += x
+        np.matmul(rec, h, out=z)
+        z += across
         np.tanh(z, out=z)
-        gates *= 0.5
-        gates += 0.5
-        c *= f
+        f *= c
+        c += f
+        c *= half
         i *= g
         c += i
-        np.tanh(c, out=h)
-        h *= o
-        both = np.matmul(h, weights)
-        out[0, t], out[1, time - 1 - t] = both[0], both[1]
+        c += g
+        np.multiply(c, half, out=squashed)
+        np.tanh(squashed, out=squashed)
+        np.multiply(o, squashed, out=h)
+        h += squashed
+        np.matmul(forth, h[0], out=out[0, t])
+        np.matmul(back, h[1], out=out[1, time - 1 - t])
     out[0] += out[1]
-    out[0] += net.bias
-    return out[0]
+    out[0] += net.bias[:, None]
+    return out[0].transpose(0, 2, 1)
 
 
 def _leaves(net: Network, e: np.ndarray) -> np.ndarray:

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakehouse_kpis.llm import lstm_crf
@@ -144,11 +144,10 @@ def sample(documents: DataFrame, rows: int = SAMPLE_WINDOWS) -> tuple[np.ndarray
     )
     # copies of a passage give the same window, which is learnt from once
     found = found.groupBy("has", "h").agg(F.min("x").alias("x"), F.min("y").alias("y"))
-    half = rows // 2
-    taken = [
-        r for has in (True, False)
-        for r in found.where(F.col("has") == has).orderBy("h").limit(half).collect()
-    ]
+    # both kinds in one pass over the texts; each task keeps its smallest hashes before they are shuffled
+    place = F.row_number().over(Window.partitionBy("has").orderBy("h"))
+    found = found.withColumn("place", place).where(F.col("place") <= rows // 2)
+    taken = found.orderBy(F.desc("has"), "h").collect()
 
     def matrix(column: str) -> np.ndarray:
         flat = np.frombuffer(b"".join(bytes(r[column]) for r in taken), np.int8)

@@ -41,3 +41,29 @@ def test_windows_with_tags_are_those_that_decode_finds():
     assert 0 < len(rows) < len(win) and np.array_equal(rows, expected)
     assert np.array_equal(found, tags[expected])
     assert np.allclose(held, sure[expected], atol=1e-4)
+
+
+def test_emissions_and_probabilities_are_those_of_the_training_passes():
+    rng = np.random.default_rng(5)
+    net = lstm_crf.Network.fresh(7, 9)
+    net.bias += rng.standard_normal(9).astype(np.float32)
+    win = rng.integers(0, lstm_crf.SYMBOLS, (33, 25))
+    e = lstm_crf._emissions(net, win)[0]
+    assert np.allclose(lstm_crf._inferred(net, win), e, atol=1e-5)
+    alpha, beta, total = lstm_crf._forward_backward(net, e)
+    assert np.allclose(lstm_crf._marginals(net, e), np.exp(alpha + beta - total[:, None]), atol=1e-5)
+
+
+def test_the_sample_takes_one_pass(spark, tmp_path):
+    texts = [f"write to user{i}@mail{i}.example.org or not" if i % 3 else f"room {i} is free" for i in range(40)]
+    documents = spark.createDataFrame([(t,) for t in texts], "text string")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    x, y = pii.sample(documents.mapInPandas(counted, "text string"), 12)
+    assert read.value == len(texts)
+    assert list(y.any(axis=1)) == [True] * 6 + [False] * 6
