@@ -16,11 +16,12 @@ from lakehouse_kpis.functions.money import mean, ratio, zero_unless
 
 @dataclass(frozen=True)
 class Measured:
-    """A measure: built when a tile is evaluated, as columns need a running session, and the text
-    in which its input columns are named."""
+    """A measure: built when a tile is evaluated, as columns need a running session, the text in which
+    its input columns are named, and whether its values for parts of the rows add up to that of all."""
 
     build: Callable[[], Column]
     uses: tuple[str, ...] = ()
+    adds: bool = False
 
     def __call__(self) -> Column:
         return self.build()
@@ -35,22 +36,25 @@ Selection = Mapping[str, Any]
 
 
 def rows() -> Measured:
-    return Measured(lambda: F.count("*"))
+    return Measured(lambda: F.count("*"), adds=True)
 
 
 def total(column: str, sign: int = 1) -> Measured:
-    return Measured(lambda: F.sum(F.col(column) * sign if sign != 1 else F.col(column)), (column,))
+    return Measured(
+        lambda: F.sum(F.col(column) * sign if sign != 1 else F.col(column)), (column,), adds=True
+    )
 
 
 def total_where(condition: str, column: str, sign: int = 1) -> Measured:
     """Sum over the rows that meet a condition; zero if none does."""
     return Measured(
-        lambda: F.sum(zero_unless(F.expr(condition), F.col(column) * sign)), (condition, column)
+        lambda: F.sum(zero_unless(F.expr(condition), F.col(column) * sign)), (condition, column),
+        adds=True,
     )
 
 
 def rows_where(condition: str) -> Measured:
-    return Measured(lambda: F.count_if(F.expr(condition)), (condition,))
+    return Measured(lambda: F.count_if(F.expr(condition)), (condition,), adds=True)
 
 
 def distinct(column: str) -> Measured:
@@ -162,19 +166,37 @@ def together(tiles: Mapping[str, Tile], dataset: DataFrame) -> tuple[DataFrame,
 
     Every row counts once for each set of dimensions that some tile groups by. It carries only the
     inputs that the tiles of that set use, so a distinct count is worked out for its own set alone;
-    rows are combined before they are shuffled. Tiles without measures list rows and have no groups.
+    rows are combined before they are shuffled. Where all measures add up, the rows are first put
+    together by all dimensions at once, and those groups are copied to the sets and not the rows.
+    Tiles without measures list rows and have no groups.
     """
     sets: dict[tuple[str, ...], dict[str, Tile]] = {}
     for name, tile in tiles.items():
         sets.setdefault(tuple(sorted(tile.dims)), {})[name] = tile
     dims = sorted({d for held in sets for d in held})
-    used = {
-        held: set().union(*[
-            m.inputs(dataset.columns) for t in own.values() for m in t.measures.values()
-        ]) for held, own in sets.items()
-    }
+    measures: dict[str, Column] = {}  # by what they compute, so that tiles share them
+    for own in sets.values():
+        for tile in own.values():
+            for make in tile.measures.values():
+                measures.setdefault(str(make()), make())
+    names = {text: f"_m{i}" for i, text in enumerate(measures)}
+    values = [column.alias(names[text]) for text, column in measures.items()]
+    source = dataset
+    if len(sets) > 1 and all(m.adds for t in tiles.values() for m in t.measures.values()):
+        source = dataset.groupBy(*dims).agg(*values)
+        used = {
+            held: {names[str(m())] for t in own.values() for m in t.measures.values()}
+            for held, own in sets.items()
+        }
+        values = [F.sum(n).cast(source.schema[n].dataType).alias(n) for n in names.values()]
+    else:
+        used = {
+            held: set().union(*[
+                m.inputs(dataset.columns) for t in own.values() for m in t.measures.values()
+            ]) for held, own in sets.items()
+        }
     inputs = sorted(set().union(*used.values()))
-    types = dict(dataset.dtypes)
+    types = dict(source.dtypes)
 
     def value(column: str, wanted: bool) -> Column:
         return F.col(column) if wanted else F.lit(None).cast(types[column])
@@ -186,15 +208,7 @@ def together(tiles: Mapping[str, Tile], dataset: DataFrame) -> tuple[DataFrame,
             *[value(c, c in used[held]).alias(c) for c in inputs],
         ) for i, held in enumerate(sets)
     ])
-    measures: dict[str, Column] = {}  # by what they compute, so that tiles share them
-    for own in sets.values():
-        for tile in own.values():
-            for make in tile.measures.values():
-                measures.setdefault(str(make()), make())
-    names = {text: f"_m{i}" for i, text in enumerate(measures)}
-    groups = dataset.select(F.inline(rows)).groupBy("_set", *[f"_by_{d}" for d in dims]).agg(
-        *[column.alias(names[text]) for text, column in measures.items()]
-    )
+    groups = source.select(F.inline(rows)).groupBy("_set", *[f"_by_{d}" for d in dims]).agg(*values)
 
     def take(found: DataFrame, name: str) -> DataFrame:
         tile = tiles[name]

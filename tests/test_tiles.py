@@ -127,3 +127,22 @@ def test_one_pass_per_dataset(data):
     assert listed(take(groups, "t")) == [(None,)] and listed(take(groups, "n")) == []
     plan = facets(FILTERS, "sales", data["sales"], {"place": ["E"], "kind": ["x"]})
     assert plan._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+
+
+def test_rows_are_put_together_before_they_are_copied_to_the_tiles(data):
+    """Where all measures add up, the copies for the sets of dimensions are made of groups."""
+    tiles = {
+        "t": Tile("sales", measures={"t": total("v"), "x": total_where("kind = 'x'", "v", -1)}),
+        "k": Tile("sales", ("kind",), {"n": rows(), "e": rows_where("place = 'E'")}),
+        "p": Tile("sales", ("place", "kind"), {"t": total("v")}),
+    }
+    twice = data["sales"].union(data["sales"])
+    groups, take = together(tiles, twice)
+    plan = groups._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" in plan[plan.index("Generate"):]
+    for name, tile in tiles.items():
+        expected = aggregate(tile, twice)
+        assert listed(take(groups, name)) == listed(expected)
+        assert take(groups, name).dtypes == expected.dtypes
+    groups, take = together(tiles, twice.limit(0))
+    assert listed(take(groups, "t")) == [(None, None)] and listed(take(groups, "k")) == []
