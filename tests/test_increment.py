@@ -147,3 +147,26 @@ def test_other_months_are_not_read(spark, landed, tmp_path):
     scans = [part.splitlines()[0] for part in plan.split("FileScan parquet")[1:]]
     filters = [s.split("PartitionFilters: [")[1].split("PushedFilters")[0] for s in scans]
     assert filters and all("INVOICEDATE_month" in f for f in filters)
+
+
+def test_the_query_lands_its_lines_once(spark, landed, monkeypatch):
+    """Its two refreshes read the landed lines several times, and make them once."""
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr(entry, "legacy_product_key", lambda: F.lit("P1"))
+    made = []
+
+    class Lake:
+        def __init__(self):
+            self.spark = spark
+
+        def bronze(self, name):
+            made.append(name)
+            return landed.table(name).withColumns({c: F.lit("-") for c in ("DATAAREAID", "_SYSROWID")})
+
+    found = entry._fact_by_increment(Lake())
+    assert made.count("invoice_lines") == 1
+    fact = facts.fact_invoice_lines(
+        *[landed.table(n) for n in ("invoice_lines", "markups", "legacy_headers")],
+        product_key=F.lit("P1"))
+    assert listed(found) == listed(fact.drop(dims.LOADED_AT))
