@@ -12,6 +12,7 @@ import numpy as np
 # Printable ASCII has a symbol of its own each; then white space, other letters, the rest, padding.
 WHITE, LETTER, OTHER, PAD = 95, 96, 97, 98
 SYMBOLS = 99
+BLOCK = 512  # windows that the network runs over at once
 
 
 def symbols(text: str) -> np.ndarray:
@@ -175,15 +176,22 @@ def tagged(net: Network, win: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     """The windows whose best tags are not all 0: their numbers, and what `decode` gives for them.
 
     The network runs over every window; best tags are looked for where `_leaves` cannot rule out that
-    they have another one than 0.
+    they have another one than 0. Few windows of a block are left, so those of all blocks are decoded
+    at once.
     """
-    e = _inferred(net, win)
-    rows = np.flatnonzero(_leaves(net, e))
-    if not len(rows):
-        return rows, np.zeros((0, win.shape[1]), np.int64), np.zeros((0, win.shape[1]), np.float32)
-    tags, sure = _best(net, np.ascontiguousarray(e[:, rows]))
+    rows, left = [], []
+    for at in range(0, len(win), BLOCK):
+        e = _inferred(net, win[at:at + BLOCK])
+        own = np.flatnonzero(_leaves(net, e))
+        rows.append(own + at)
+        left.append(e[:, own])
+    if not sum(map(len, rows)):
+        none = np.zeros((0, win.shape[1]))
+        return np.zeros(0, np.int64), none.astype(np.int64), none.astype(np.float32)
+    found = np.concatenate(rows)
+    tags, sure = _best(net, np.ascontiguousarray(np.concatenate(left, axis=1)))
     kept = tags.any(axis=1)
-    return rows[kept], tags[kept], sure[kept]
+    return found[kept], tags[kept], sure[kept]
 
 
 def _inferred(net: Network, win: np.ndarray) -> np.ndarray:
@@ -204,7 +212,7 @@ def _inferred(net: Network, win: np.ndarray) -> np.ndarray:
     across, squashed = x.transpose(0, 2, 1), np.empty_like(c)
     i, f, o, g = (z[:, n * hidden:(n + 1) * hidden] for n in range(4))
     for t in range(time):
-        np.take(inp, at[t], axis=0, out=x, mode="clip")
+        inp.take(at[t], 0, x, "clip")
         np.matmul(rec, h, out=z)
         z += across
         np.tanh(z, out=z)
@@ -239,10 +247,13 @@ def _leaves(net: Network, e: np.ndarray) -> np.ndarray:
         float(part.max() - stay) for part in (net.trans[0, 1:], net.trans[1:, 1:], net.trans[1:, 0])
     )
     run = float(net.start[1:].max() - net.start[0]) + gain[0]
-    most = run + leave if len(gain) > 1 else run
-    for t in range(1, len(gain)):
-        run = np.maximum(run + inside, into) + gain[t]
-        most = np.maximum(most, run + (leave if t < len(gain) - 1 else 0.0))
+    most = np.full_like(run, -np.inf)  # of the runs that end before the last place
+    for part in gain[1:]:
+        np.maximum(most, run, out=most)
+        run += inside
+        np.maximum(run, into, out=run)
+        run += part
+    most = np.maximum(most + leave, run)
     return most > -1e-3
 
 

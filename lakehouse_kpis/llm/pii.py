@@ -13,6 +13,7 @@ Every window of every text goes through the network; which texts hold marks or d
 from __future__ import annotations
 
 import hashlib
+import heapq
 import itertools
 import re
 from bisect import bisect_right
@@ -32,17 +33,18 @@ REWRITTEN = 1152          # windows with spans written anew that it is trained o
 SAMPLE_WINDOWS = 768      # windows that the network is trained on
 HIDDEN, EPOCHS, TRAIN_BATCH = 12, 12, 32
 SURE = 0.8                # least mean probability of an added span
-DECODE_BATCH = 512
+DECODE_BATCH = 4096       # windows that are decoded together
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
-# runs of digits are taken whole: a match that begins inside of one could not end differently
-_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+# a run of digits is taken whole, with three more after points if there are: a match that begins inside
+# of one could not end differently
+_IP = re.compile(r"[0-9]++(?:(?:\.[0-9]++){3})?+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _DOT = "(?<![A-Za-z])[Dd][Oo][Tt](?![A-Za-z])"
-_ANCHOR = re.compile(f"[0-9@]|{_DOT}")
+_MARK, _DOT_WORD = re.compile("[0-9@]"), re.compile(_DOT)
 
 Span = tuple[int, int, int]  # start, end, index of the kind
 
@@ -59,6 +61,8 @@ def rule_spans(text: str) -> list[Span]:
     """Spans that the rules find, by start and then kind; code points, end exclusive."""
     found = _emails(text)
     for m in _IP.finditer(text):
+        if "." not in m[0]:
+            continue
         parts = [p.lstrip("0") for p in m[0].split(".")]
         if all(len(p) < 4 and int(p or 0) <= 255 for p in parts):
             found.append((m.start(), m.end(), 1))
@@ -111,30 +115,60 @@ def _decoded(text: bytes | None) -> str:
     return (text or b"").decode("utf-8", "replace")
 
 
+class _Least:
+    """The `size` smallest distinct numbers of those seen; a larger one cannot be among the smallest of
+    more numbers either."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.heap: list[int] = []  # negated, so the largest comes first
+        self.held: set[int] = set()
+
+    def admits(self, number: int) -> bool:
+        """Whether the number is among the smallest so far, itself seen."""
+        if number in self.held:
+            return True
+        if len(self.heap) < self.size:
+            heapq.heappush(self.heap, -number)
+        elif self.heap and number < -self.heap[0]:
+            self.held.discard(-heapq.heapreplace(self.heap, -number))
+        else:
+            return False
+        self.held.add(number)
+        return True
+
+
 def sample(documents: DataFrame, rows: int = SAMPLE_WINDOWS) -> tuple[np.ndarray, np.ndarray]:
     """Symbols and tags of up to `rows` windows round digits and at-signs, with the rules' labels.
 
     Windows with spans and windows without are taken in equal numbers, those with the smallest
     hashes of their contents among all windows of all texts, so the order of rows does not matter.
     """
+    half = rows // 2
+
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        least = {True: _Least(half), False: _Least(half)}
         for batch in batches:
             out = []
             for raw in batch["text"]:
                 text = _decoded(raw)
-                if not _ANCHOR.search(text):
-                    continue
-                spans = rule_spans(text)
+                anchors = {m.start() // STRIDE for m in _MARK.finditer(text)}
+                if "dot" in text.lower():
+                    anchors.update(m.start() // STRIDE for m in _DOT_WORD.finditer(text))
+                spans = rule_spans(text) if anchors else []
                 codes = None
-                for cell in sorted({m.start() // STRIDE for m in _ANCHOR.finditer(text)}):
+                for cell in sorted(anchors):
                     start = max(cell * STRIDE - STRIDE // 2, 0)
                     part = text[start:start + WINDOW]
                     digest = hashlib.blake2b(part.encode("utf-8", "replace"), digest_size=8)
                     h = int.from_bytes(digest.digest(), "big") >> 1
+                    has = any(a < start + WINDOW and b > start for a, b, _ in spans)
+                    if not least[has].admits(h):
+                        continue
                     codes = lstm_crf.symbols(text) if codes is None else codes
                     tags = _tags(spans, start, WINDOW)
                     out.append((
-                        bool(tags.any()), h, _window(codes, start).astype(np.int8).tobytes(),
+                        has, h, _window(codes, start).astype(np.int8).tobytes(),
                         tags.astype(np.int8).tobytes(),
                     ))
             yield pd.DataFrame(out, columns=["has", "h", "x", "y"])
