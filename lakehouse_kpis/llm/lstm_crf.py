@@ -196,18 +196,23 @@ def tagged(net: Network, win: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def _inferred(net: Network, win: np.ndarray) -> np.ndarray:
     """The emissions of `_emissions` in as few passes as it takes. All gates are one tanh, a sigmoid being
-    half of a tanh and a half: the halves are put into the weights, so `h` and `c` are twice the states.
-    The windows lie along the last axis, where a gate is one block, and arrays are used again."""
+    half of a tanh and a half: the halves are put into the weights, so `h` is twice the state. Under it
+    lies a row of ones, by which the bias comes with the product. The windows lie along the last axis,
+    where a gate is one block, and arrays are used again."""
     hidden, (batch, time), tags = net.rec.shape[1], win.shape, net.out.shape[1]
     half = np.float32(0.5)
     scale = np.ones(4 * hidden, np.float32)
     scale[:3 * hidden] = half
     inp = net.inp * scale
     rec = np.ascontiguousarray((net.rec * scale * half).transpose(0, 2, 1))
-    forth, back = np.ascontiguousarray((net.out * half).reshape(2, hidden, tags).transpose(0, 2, 1))
+    outward = np.zeros((2, tags, hidden + 1), np.float32)
+    outward[:, :, :hidden] = (net.out * half).reshape(2, hidden, tags).transpose(0, 2, 1)
+    outward[0, :, hidden] = net.bias
     at = _both_ways(win)
-    out = np.empty((2, time, tags, batch), np.float32)
-    h, c = np.zeros((2, hidden, batch), np.float32), np.zeros((2, hidden, batch), np.float32)
+    out, part = np.empty((time, tags, batch), np.float32), np.empty((2, tags, batch), np.float32)
+    state, c = np.ones((2, hidden + 1, batch), np.float32), np.zeros((2, hidden, batch), np.float32)
+    h = state[:, :hidden]
+    h[:] = 0
     x, z = np.empty((2, batch, 4 * hidden), np.float32), np.empty((2, 4 * hidden, batch), np.float32)
     across, squashed = x.transpose(0, 2, 1), np.empty_like(c)
     i, f, o, g = (z[:, n * hidden:(n + 1) * hidden] for n in range(4))
@@ -217,20 +222,21 @@ def _inferred(net: Network, win: np.ndarray) -> np.ndarray:
         z += across
         np.tanh(z, out=z)
         f *= c
-        c += f
-        c *= half
+        f += c
         i *= g
-        c += i
-        c += g
-        np.multiply(c, half, out=squashed)
-        np.tanh(squashed, out=squashed)
+        i += g
+        np.add(f, i, out=c)
+        c *= half
+        np.tanh(c, out=squashed)
         np.multiply(o, squashed, out=h)
         h += squashed
-        np.matmul(forth, h[0], out=out[0, t])
-        np.matmul(back, h[1], out=out[1, time - 1 - t])
-    out[0] += out[1]
-    out[0] += net.bias[:, None]
-    return out[0].transpose(0, 2, 1)
+        # the direction that comes second to a place is added to the other
+        for way, place in enumerate((t, time - 1 - t)):
+            first = 2 * t < time - 1 or (2 * t == time - 1 and way == 0)
+            np.matmul(outward[way], state[way], out=out[place] if first else part[way])
+            if not first:
+                out[place] += part[way]
+    return out.transpose(0, 2, 1)
 
 
 def _leaves(net: Network, e: np.ndarray) -> np.ndarray:
