@@ -6,9 +6,10 @@ a term in the queries times the term's postings is added to dense arrays of scor
 posting of every query term is visited, so the scores are exact. A task keeps the best k of each
 query over the blocks it has seen; the tasks' selections are merged at the end.
 
-All queries against all candidates is the job itself. It is done in pairs of blocks: a block pair is
-one row, its blocks are of bounded size, and the number of rows that leave it is k for each query and
-task.
+All queries against all candidates is the job itself. It is done in cells: a few query blocks against
+some candidate blocks, all of bounded size. A block is shuffled once for each cell that it belongs to,
+nothing is broadcast, and a task holds the query blocks of one cell while the candidate blocks pass one by
+one. The number of rows that leave a cell is k for each of its queries.
 """
 
 from __future__ import annotations
@@ -27,7 +28,10 @@ SCALE = 256.0
 EVERY = 50              # queries are the ids divisible by this
 CANDIDATE_ROWS = 512    # of a block, in the mean
 QUERY_ROWS = 1024
-HELD = 4                # query blocks whose selection a task keeps at a time
+HELD = 8                # query blocks of a cell, held by a task while
+PASSED = 32             # as many candidate blocks pass, fewer where that makes
+CELLS = 64              # cells out of a smaller table
+DEALT = 4096            # partitions that the cells are dealt over at most
 LONG = np.iinfo(np.int64)
 
 
@@ -121,27 +125,56 @@ class _Selection:
         })
 
 
+def _smallest(values: np.ndarray) -> np.ndarray:
+    """Whole numbers in the smallest type that holds all of them."""
+    top = np.abs(values).max(initial=0)
+    fits = [kind for kind in (np.int16, np.int32) if top <= np.iinfo(kind).max]
+    return values.astype(fits[0]) if fits else values
+
+
 def _blocks(rows: DataFrame, number: int) -> DataFrame:
-    """block, keys, ids, ends and w: distinct rows in blocks of bounded size, packed as bytes."""
+    """block, ids, ends, form and w: distinct rows in blocks of bounded size, packed as bytes."""
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         ends = np.cumsum([len(v) for v in frame["w"]], dtype=np.int64)
+        values = _smallest(np.concatenate([np.asarray(v, np.float64) for v in frame["w"]]))
         return pd.DataFrame({
             "block": [int(frame["block"].iloc[0])], "ids": [frame["id"].to_numpy(np.int64).tobytes()],
-            "ends": [ends.tobytes()],
-            "w": [b"".join(np.asarray(v, np.float64).tobytes() for v in frame["w"])],
+            "ends": [ends.tobytes()], "form": [values.dtype.str], "w": [values.tobytes()],
         })
 
     block = F.pmod(F.xxhash64("id", "w"), F.lit(number)).cast("int")
     return rows.select("id", "w", block.alias("block")).groupBy("block").applyInPandas(
-        pack, "block int, ids binary, ends binary, w binary"
+        pack, "block int, ids binary, ends binary, form string, w binary"
     )
 
 
-def _unpacked(ids: bytes, ends: bytes, w: bytes) -> tuple[np.ndarray, list[np.ndarray]]:
-    values = np.frombuffer(w, np.float64)
+def _unpacked(ids: bytes, ends: bytes, form: str, w: bytes) -> tuple[np.ndarray, list[np.ndarray]]:
+    values = np.frombuffer(w, np.dtype(form))
     return np.frombuffer(ids, np.int64), np.split(values, np.frombuffer(ends, np.int64)[:-1])
 
 
+def _cells(left: DataFrame, query_blocks: int, right: DataFrame, candidates: int) -> DataFrame:
+    """cell, passes (0: a query block, 1: a candidate block) and the columns of a block; every query block
+    meets every candidate block in one cell. A cell lies in one partition, its query blocks first."""
+    groups = -(-query_blocks // HELD)
+    passed = max(1, min(PASSED, candidates * groups // CELLS))
+    chunks = -(-candidates // passed)
+    block = ["block", "ids", "ends", "form", "w"]
+
+    def copied(to: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(to - 1)))
+
+    queries = left.select(F.lit(0).alias("passes"), F.expr(f"block div {HELD}").alias("g"),
+                          copied(chunks).alias("c"), *block)
+    others = right.select(F.lit(1).alias("passes"), copied(groups).alias("g"),
+                          F.expr(f"block div {passed}").alias("c"), *block)
+    cell = (F.col("g") * chunks + F.col("c")).cast("bigint")
+    dealt = min(groups * chunks, DEALT)
+    return queries.unionByName(others).select(cell.alias("cell"), "passes", *block).repartitionById(
+        dealt, (F.col("cell") % dealt).cast("int")
+    ).sortWithinPartitions("cell", "passes", "block")
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     """query_id, rank, vec_id and score: the k best candidates of each query.
 
@@ -157,33 +190,30 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     left = _blocks(vectors.where(is_query), query_blocks)
     left = stored(left, "query-blocks")
     right = stored(_blocks(vectors, candidates), "candidate-blocks")
-    text_batches(spark, 16)  # a row is a pair of blocks from here on
-    to = F.explode(F.sequence(F.lit(0), F.lit(candidates - 1))).alias("to")
-    pairs = left.select(
-        F.col("block").alias("q"), F.col("ids").alias("q_ids"), F.col("ends").alias("q_ends"),
-        F.col("w").alias("q_w"), to,
-    ).join(right, F.col("to") == F.col("block")).select(
-        "q", "q_ids", "q_ends", "q_w", "ids", "ends", "w"
-    )
+    text_batches(spark, 16)  # a row is a block from here on
 
     def select(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, tuple[_Selection, list]] = {}
+        cell, held = None, []
         for batch in batches:
             for row in batch.itertuples(index=False):
-                if row.q not in held:
-                    if len(held) == HELD:
-                        yield held.pop(next(iter(held)))[0].rows()
-                    ids, found = _unpacked(row.q_ids, row.q_ends, row.q_w)
-                    keys = np.arange(len(ids), dtype=np.int64) + row.q * (1 << 32)
-                    held[row.q] = _Selection(row.q, keys, ids, k), postings(found)
-                selection, terms = held[row.q]
-                ids, found = _unpacked(row.ids, row.ends, row.w)
-                scores = accumulate(terms, postings(found), len(selection.ids), len(ids))
-                selection.add(scores, ids)
-        for selection, _ in held.values():
+                if row.cell != cell:
+                    for selection, _ in held:
+                        yield selection.rows()
+                    cell, held = row.cell, []
+                ids, found = _unpacked(row.ids, row.ends, row.form, row.w)
+                terms = postings(found)
+                if not row.passes:
+                    keys = np.arange(len(ids), dtype=np.int64) + row.block * (1 << 32)
+                    held.append((_Selection(row.block, keys, ids, k), terms))
+                    continue
+                for selection, own in held:
+                    selection.add(accumulate(own, terms, len(selection.ids), len(ids)), ids)
+        for selection, _ in held:
             yield selection.rows()
 
-    chosen = pairs.mapInPandas(select, "row bigint, query_id bigint, vec_id bigint, score bigint")
+    chosen = _cells(left, query_blocks, right, candidates).mapInPandas(
+        select, "row bigint, query_id bigint, vec_id bigint, score bigint"
+    )
     rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "vec_id"))
     return chosen.withColumn("rank", rank).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int"), "vec_id", "score"
