@@ -47,6 +47,27 @@ def kind_of(expr: str) -> tuple[str, str] | None:
     return None
 
 
+def _arguments(text: str) -> list[str]:
+    """The arguments of a call, parted at the commas outside brackets and quotes."""
+    parts, held = [], ""
+    for piece in text.split(","):
+        held = f"{held},{piece}" if held else piece
+        if _whole(held) and not any(held.count(mark) % 2 for mark in "'`\""):
+            parts.append(held)
+            held = ""
+    return parts + [held] * bool(held)
+
+
+def _input(kind: str, argument: str) -> Column | None:
+    """What a sum or a count takes from a row: the value, or 1 where no argument is null; None for *."""
+    if kind == "sum":
+        return F.expr(argument)
+    if argument == "*":
+        return None
+    known = " AND ".join(f"({a}) IS NOT NULL" for a in _arguments(argument))
+    return F.expr(f"CASE WHEN {known} THEN 1 END")
+
+
 def parts_of(view: MetricView, measure: str) -> set[str]:
     """The measures that have to be stored for a measure: itself, or those that it is made from."""
     expr = view.measures[measure].expr
@@ -76,8 +97,20 @@ def rollup(
     added = {n: view.measures[n].expr for n, (kind, _) in kinds.items() if kind != "distinct"}
     counted = {n: arg for n, (kind, arg) in kinds.items() if kind == "distinct"}
 
-    rows = metrics.rows([*groups.values(), *added.values(), *counted.values()])
+    rows = metrics.rows([*groups.values(), *added.values(), *counted.values(), near or ""])
     keys = [F.expr(e).alias(n) for n, e in groups.items()]
+    if counted and not any(arg.endswith(".*") for kind, arg in kinds.values() if kind == "count"):
+        # sums and distinct counts are made from the same rows: the joins that make them run once
+        inputs = {n: _input(*kinds[n]) for n in added}
+        rows = written(rows.select(
+            *keys, *[c.alias(n) for n, c in inputs.items() if c is not None],
+            *[F.expr(arg).alias(n) for n, arg in counted.items()],
+            F.expr(near or "0").alias("_near"),
+        ), "rolled-rows")
+        groups = {n: f"`{n}`" for n in groups}
+        keys = [F.col(e) for e in groups.values()]
+        added = {n: f"{kinds[n][0]}({'*' if c is None else f'`{n}`'})" for n, c in inputs.items()}
+        counted, near = {n: f"`{n}`" for n in counted}, "_near"
     # a cell without a sum to hold still is a row
     sums = rows.groupBy(*keys).agg(F.count("*").alias("_rows"), *[
         F.expr(e).alias(n) for n, e in added.items()
@@ -86,21 +119,19 @@ def rollup(
     out = sums.withColumns({n: F.lit(None).cast(t) for n, t in none.items()})
     for name, value in counted.items():
         out = out.unionByName(
-            _bitmaps(metrics, groups, name, value, near), allowMissingColumns=True
+            _bitmaps(rows, groups, name, value, near), allowMissingColumns=True
         )
     return out
 
 
 def _bitmaps(
-    metrics: Metrics, groups: Mapping[str, str], name: str, value: str, near: str | None
+    rows: DataFrame, groups: Mapping[str, str], name: str, value: str, near: str | None
 ) -> DataFrame:
-    rows = metrics.rows([*groups.values(), value, near or ""])
     # a value counts once a cell, however many lines it has there: reduced before any join
-    held = rows.groupBy(*[F.expr(e).alias(n) for n, e in groups.items()],
-                        F.expr(value).alias("_value")).agg(
-        F.min(F.expr(near) if near else F.lit(0)).alias("_near")
-    ).filter("_value IS NOT NULL")
-    held = written(held, "counted")  # read twice; the source is read once
+    held = rows.filter(f"({value}) IS NOT NULL").groupBy(
+        *[F.expr(e).alias(n) for n, e in groups.items()], F.expr(value).alias("_value")
+    ).agg(F.min(F.expr(near) if near else F.lit(0)).alias("_near"))
+    held = written(held, "counted")  # read twice
     values = held.groupBy("_value").agg(F.min("_near").alias("_near"))
     ids = numbered(values, ["_near", "_value"], "_id").select("_value", "_id")
     placed = held.join(ids, "_value").select(
