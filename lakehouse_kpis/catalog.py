@@ -143,6 +143,9 @@ class Catalog:
         elif partition_by:
             df = df.hint("rebalance", *partition_by)
         writer = df.write.mode("overwrite").format("parquet")
+        if partition_by or layer == "bronze":
+            # what is large; dimensions keep the session's codec, as their size decides on broadcasts
+            writer = writer.option("compression", "zstd")
         if self.version is not None:
             writer = writer.option("path", f"{self.builds}/{self.version}/{layer}/{table}")
         if partition_by:

@@ -38,30 +38,43 @@ def sales_summary(fact: DataFrame, customer: DataFrame, product: DataFrame) -> D
     Inner joins: a line without customer or product is left out, and a dimension key that
     occurs twice counts its lines twice, as in the plain SQL join.
     """
-    cogs = F.sum(F.col("quantity") * F.col("unit_cost_usd"))
-    net = F.sum("net_invoice_amount")
-    return (
+    keys = [
+        "invoice_month", "territory", "customer_segment", "product_line", "product_tier",
+        "source_system",
+    ]
+    lines = (
         fact.join(customer.select("customer_key", "territory", "customer_segment"), "customer_key")
         .join(
             product.select("product_key", "product_line", "product_tier", "unit_cost_usd"),
             "product_key",
         )
-        .groupBy(
-            month_of("invoice_date").alias("invoice_month"), "territory", "customer_segment",
-            "product_line", "product_tier", "source_system",
-        )
-        .agg(
-            F.count_distinct("invoice_id").alias("invoice_count"),
-            F.count("*").alias("line_count"),
-            F.sum("quantity").alias("units_sold"),
-            F.round(F.sum("gross_line_amount"), 2).alias("gross_revenue_usd"),
-            F.round(F.sum("discount_amount"), 2).alias("discount_usd"),
-            F.round(F.sum(F.col("freight_amount") + F.col("pallet_amount")), 2)
-            .alias("freight_pallet_usd"),
-            F.round(net, 2).alias("net_revenue_usd"),
-            F.round(cogs, 2).alias("estimated_cogs_usd"),
-            F.round(net - cogs, 2).alias("estimated_gross_margin_usd"),
-        )
+        .withColumn("invoice_month", month_of("invoice_date"))
+    )
+    # a row for the sums and one for the invoice: the sums are put together before they are shuffled,
+    # and what is shuffled for each invoice holds no sums
+    invoice, own = F.when(F.col("_of") == 1, F.col("invoice_id")), F.col("_of") == 0
+    sums = {
+        "line_count": F.count(F.when(own, 1)),
+        "units_sold": F.sum(F.when(own, F.col("quantity"))),
+        "gross_revenue_usd": F.sum(F.when(own, F.col("gross_line_amount"))),
+        "discount_usd": F.sum(F.when(own, F.col("discount_amount"))),
+        "freight_pallet_usd": F.sum(F.when(own, F.col("freight_amount") + F.col("pallet_amount"))),
+        "net_revenue_usd": F.sum(F.when(own, F.col("net_invoice_amount"))),
+        "estimated_cogs_usd": F.sum(F.when(own, F.col("quantity") * F.col("unit_cost_usd"))),
+    }
+    parts = lines.withColumn("_of", F.explode(F.array(F.lit(0), F.lit(1)))).groupBy(
+        *keys, "_of", invoice.alias("_invoice")
+    ).agg(*[total.alias(name) for name, total in sums.items()])
+    # one row of a group holds its sums
+    whole = parts.groupBy(*keys).agg(
+        F.count("_invoice").alias("invoice_count"),
+        *[F.max(F.when(own, F.col(name))).alias(name) for name in sums],
+    )
+    net, cogs = F.col("net_revenue_usd"), F.col("estimated_cogs_usd")
+    return whole.select(
+        *keys, "invoice_count", "line_count", "units_sold",
+        *[F.round(name, 2).alias(name) for name in [*sums][2:]],
+        F.round(net - cogs, 2).alias("estimated_gross_margin_usd"),
     )
 
 

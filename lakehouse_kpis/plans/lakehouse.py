@@ -16,6 +16,7 @@ from lakehouse_kpis.operators import dims, facts, gold
 from lakehouse_kpis.operators.metrics import Metrics, MetricView
 from lakehouse_kpis.plans import datasets
 from lakehouse_kpis.plans.sales_metrics import SALES_METRICS
+from lakehouse_kpis.session import shuffles_dropped
 
 # provenance of the landed tables
 PROVENANCE = {
@@ -175,7 +176,8 @@ class Lakehouse:
                 partition_by=month_partition(date) if date else None,
             )
 
-        with ThreadPoolExecutor(at_once) as pool:
+        # one switch for all writes, as they share the session's settings
+        with shuffles_dropped(self.spark), ThreadPoolExecutor(at_once) as pool:
             # landing tasks come first in the pool's queue, so what a silver table waits for runs
             landing = {name: pool.submit(land, name) for name in _largest_first(PROVENANCE)}
             conforming = {name: pool.submit(conform, name) for name in _largest_first(_SILVER)}
