@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lakehouse_kpis.functions.dates import month_of
 from lakehouse_kpis.operators import facts
 from lakehouse_kpis.operators.matview import (
-    KEPT, NO_MONTH, WHOLE, MaterializedView, in_months, signature,
+    KEPT, NO_MONTH, WHOLE, MaterializedView, by_month, in_months, signature,
 )
 
 MONTH = "invoice_month"
@@ -55,13 +55,13 @@ class InvoiceFact(MaterializedView):
 
     def _signatures(self) -> dict[str, dict[str, list[str]]]:
         lines, month = self.landed("invoice_lines"), _month("INVOICEDATE")
-        counts = lines.groupBy(month.alias("m")).agg(
+        counts = lines.groupBy(month.alias("month")).agg(
             F.count("*").alias("n"), F.max("_SINKMODIFIEDTIME").alias("t")
         )
         self._snapshot = uuid.uuid4().hex
         facts.markup_pivot(self.landed("markups")).write.parquet(self._charges_at(self._snapshot))
         found = {
-            "lines": {r.m: [str(r.n), str(r.t)] for r in counts.collect()},
+            "lines": by_month(counts, "n", "t"),
             "headers": signature(self.landed("legacy_headers"), "INVOICEDATE"),
             "charges": {WHOLE: [self._snapshot]},
         }
@@ -116,7 +116,7 @@ class InvoiceFact(MaterializedView):
 
     def _months_with(self, invoices: DataFrame) -> set[str]:
         found = self._dated().join(invoices, "INVOICEID", "left_semi")
-        return {r.m for r in found.select(_month("INVOICEDATE").alias("m")).distinct().collect()}
+        return set(by_month(found.select(_month("INVOICEDATE").alias("month")).distinct()))
 
     # --- rebuilding -------------------------------------------------------------------------
 

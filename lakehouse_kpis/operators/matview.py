@@ -47,7 +47,12 @@ def signature(df: DataFrame, date: str | None) -> dict[str, list[str]]:
         F.sum(F.xxhash64(*values, place).cast(exact)).alias("a"),
         F.sum(F.xxhash64(place, *reversed(values)).cast(exact)).alias("b"),
     )
-    return {r["month"]: [str(r["n"]), str(r["a"]), str(r["b"])] for r in found.collect()}
+    return by_month(found, "n", "a", "b")
+
+
+def by_month(found: DataFrame, *columns: str) -> dict[str, list[str]]:
+    """month -> the columns as text. One row per month comes to the driver."""
+    return {r["month"]: [str(r[c]) for c in columns] for r in found.collect()}
 
 
 class MaterializedView:
