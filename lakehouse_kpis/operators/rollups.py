@@ -102,11 +102,13 @@ def rollup(
     if counted and not any(arg.endswith(".*") for kind, arg in kinds.values() if kind == "count"):
         # sums and distinct counts are made from the same rows: the joins that make them run once
         inputs = {n: _input(*kinds[n]) for n in added}
-        rows = written(rows.select(
+        made = written(rows.select(
             *keys, *[c.alias(n) for n, c in inputs.items() if c is not None],
             *[F.expr(arg).alias(n) for n, arg in counted.items()],
             F.expr(near or "0").alias("_near"),
         ), "rolled-rows")
+        metrics = MetricView("rolled", {}, {}).bind({"rolled": made})
+        rows = metrics.rows([])
         groups = {n: f"`{n}`" for n in groups}
         keys = [F.col(e) for e in groups.values()]
         added = {n: f"{kinds[n][0]}({'*' if c is None else f'`{n}`'})" for n, c in inputs.items()}
@@ -119,14 +121,15 @@ def rollup(
     out = sums.withColumns({n: F.lit(None).cast(t) for n, t in none.items()})
     for name, value in counted.items():
         out = out.unionByName(
-            _bitmaps(rows, groups, name, value, near), allowMissingColumns=True
+            _bitmaps(metrics, groups, name, value, near), allowMissingColumns=True
         )
     return out
 
 
 def _bitmaps(
-    rows: DataFrame, groups: Mapping[str, str], name: str, value: str, near: str | None
+    metrics: Metrics, groups: Mapping[str, str], name: str, value: str, near: str | None
 ) -> DataFrame:
+    rows = metrics.rows([*groups.values(), value, near or ""])
     # a value counts once a cell, however many lines it has there: reduced before any join
     held = rows.filter(f"({value}) IS NOT NULL").groupBy(
         *[F.expr(e).alias(n) for n, e in groups.items()], F.expr(value).alias("_value")
